@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerloom.sources.controls import control_rows
@@ -15,32 +15,45 @@ WEAK_BELOW = 0.001
 REDUNDANT_ABOVE = 0.9
 
 
-def _unrolled(one_row: DataFrame, cells: Sequence[tuple[dict[str, str], str]], value: str) -> DataFrame:
-    """Turn a one-row aggregate into one row per cell."""
-    rows = F.array(
-        *[
-            F.struct(*[F.lit(v).alias(k) for k, v in names.items()], F.round(F.col(col), 6).alias(value))
-            for names, col in cells
-        ]
+def _pearson(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Pearson correlation of each pair of columns without NULLs.
+
+    One pass sums values, squares and products; the pairs are then unrolled from
+    a single row.
+    """
+    names = list(dict.fromkeys(c for pair in pairs for c in pair))
+    x = {c: F.col(c).cast("double") for c in names}
+    one = df.agg(
+        F.count("*").cast("double").alias("n"),
+        F.array(*[F.sum(x[c]) for c in names]).alias("s"),
+        F.array(*[F.sum(x[c] * x[c]) for c in names]).alias("q"),
+        F.array(*[F.sum(x[a] * x[b]) for a, b in pairs]).alias("cross"),
+    )
+    at = F.col("k") + 1
+    rows = one.select("n", "s", "q", F.posexplode("cross").alias("k", "xy")).withColumns(
+        {
+            "first": F.element_at(F.array(*[F.lit(a) for a, _ in pairs]), at),
+            "second": F.element_at(F.array(*[F.lit(b) for _, b in pairs]), at),
+            "i": F.element_at(F.array(*[F.lit(names.index(a) + 1) for a, _ in pairs]), at),
+            "j": F.element_at(F.array(*[F.lit(names.index(b) + 1) for _, b in pairs]), at),
+        }
     )
-    return one_row.select(F.explode(rows).alias("r")).select("r.*")
+    n, pick = F.col("n"), F.element_at
+    spread = lambda k: n * pick("q", F.col(k)) - pick("s", F.col(k)) * pick("s", F.col(k))
+    joint = n * F.col("xy") - pick("s", F.col("i")) * pick("s", F.col("j"))
+    norm = F.sqrt(spread("i")) * F.sqrt(spread("j"))
+    return rows.select("first", "second", F.when(norm > 0, F.round(joint / norm, 6)).alias("correlation"))
 
 
 def label_correlation(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
-    """Pearson correlation of each candidate with the label, in one pass."""
-    y = F.col(label).cast("double")
-    one = df.agg(*[F.corr(F.col(c).cast("double"), y).alias(c) for c in columns])
-    return _unrolled(one, [({"candidate": c}, c) for c in columns], "correlation")
+    """Correlation of each candidate with the label."""
+    got = _pearson(df, [(c, label) for c in columns])
+    return got.select(F.col("first").alias("candidate"), "correlation")
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of candidates (first before second), in one pass."""
-    pairs = list(combinations(columns, 2))
-    value: list[Column] = [
-        F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}") for i, (a, b) in enumerate(pairs)
-    ]
-    cells = [({"first": a, "second": b}, f"c{i}") for i, (a, b) in enumerate(pairs)]
-    return _unrolled(df.agg(*value), cells, "correlation")
+    """Correlation of every pair of candidates, the earlier one first."""
+    return _pearson(df, list(combinations(columns, 2)))
 
 
 def select_features(importance: DataFrame, correlations: DataFrame) -> DataFrame:

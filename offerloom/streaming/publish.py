@@ -46,7 +46,7 @@ def read_published(
     spark: SparkSession, target: str, schema: StructType, key: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """The current row of each key over all batches so far."""
-    return newest(spark.read.schema(schema).parquet(target), key, order)
+    return newest(spark.read.schema(schema).parquet(target).select(*schema.names), key, order)
 
 
 def score_stream(
@@ -68,15 +68,18 @@ def drift_stream(
 ) -> StreamingQuery:
     """Daily profile of one column, kept current while snapshots arrive.
 
-    A day's figures are emitted whenever they change and the last ones count.
-    State for a day is dropped once the watermark passes it; rows later than
-    `delay` are ignored.
+    A day's figures are emitted whenever they change and the last ones count. A
+    day's state is dropped once a row `delay` later has been seen; rows for it
+    that come after that are ignored.
     """
+    day = F.date_trunc("day", F.col(ts)).cast("timestamp")
     daily = (
-        snapshot.withWatermark(ts, delay)
-        .groupBy(F.window(ts, "1 day").alias("w"), slice_by)
+        snapshot.withColumn("day", day)
+        .withWatermark("day", delay)
+        .groupBy("day", slice_by)
         .agg(*profile_measures(F.col(column)))
-        .select(F.col("w.start").alias("window_start"), slice_by, "n", "mean", "stddev", "null_rate")
+        .withColumn("window_start", F.col("day").cast("timestamp_ntz"))
+        .drop("day")
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerloom.operators.scan import prefix_scan, ranged
+from offerloom.session import bounded
 from offerloom.sources.fixtures import NO_OFFER
 
 
@@ -34,7 +35,7 @@ def apply_budget(decisions: DataFrame, budgets: DataFrame, scenario: Sequence[st
     fits = (F.col("offer_type") != NO_OFFER) & (F.col("running_cost") <= F.coalesce("budget", F.lit(0)))
     return (
         running_cost(decisions, scenario)
-        .join(limits, [*scenario, "segment"], "left")
+        .join(bounded(limits), [*scenario, "segment"], "left")
         .withColumn("eligible", fits)
         .withColumn("final_offer", F.when(F.col("eligible"), F.col("offer_type")).otherwise(NO_OFFER))
         .drop("budget")

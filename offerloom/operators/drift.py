@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from offerloom.functions.scalars import value_block
 from offerloom.operators.scan import prefix_scan
+from offerloom.session import bounded
 
 WINDOW = "1 day"
 
@@ -40,7 +41,8 @@ def drift_ks(snapshot: DataFrame, baseline: DataFrame, columns: Sequence[str], s
     """Largest gap between a day's distribution and the baseline's, per column and slice.
 
     Values are counted first; the scan then runs over distinct values. Each day
-    needs the whole baseline, whose counts are repeated once per day seen.
+    needs the whole baseline, whose counts are repeated once per day seen. The
+    list of days is small and joined as such, since (slice, column) has few values.
     """
     by = [slice_by, "column"]
     cells = _long_form(snapshot, columns, slice_by, ts).filter("value is not null")
@@ -55,7 +57,7 @@ def drift_ks(snapshot: DataFrame, baseline: DataFrame, columns: Sequence[str], s
     zero = F.lit(0).cast("long")
     both = (
         now.withColumn("there", zero)
-        .unionByName(old.join(days_seen, by).withColumn("here", zero))
+        .unionByName(old.join(bounded(days_seen), by).withColumn("here", zero))
         .groupBy("window_start", *by, "value")
         .agg(F.sum("here").alias("here"), F.sum("there").alias("there"))
         .withColumn("value_block", value_block(F.col("value")))
@@ -67,7 +69,7 @@ def drift_ks(snapshot: DataFrame, baseline: DataFrame, columns: Sequence[str], s
     sizes = both.groupBy(*group).agg(F.sum("here").alias("n_here"), F.sum("there").alias("n_there"))
     gap = F.abs(F.col("cum_here") / F.col("n_here") - F.col("cum_there") / F.col("n_there"))
     return (
-        steps.join(sizes.filter("n_here > 0 and n_there > 0"), group)
+        steps.join(bounded(sizes.filter("n_here > 0 and n_there > 0")), group)
         .groupBy(*group)
         .agg(F.round(F.max(gap), 6).alias("ks"), F.max("n_here").alias("n"), F.max("n_there").alias("n_baseline"))
     )

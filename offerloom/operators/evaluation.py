@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from offerloom.functions.scalars import unit_block
 from offerloom.operators.scan import prefix_scan, ranged
-from offerloom.session import staged
+from offerloom.session import bounded, staged
 
 NO_COLUMN = "(none)"
 
@@ -31,7 +31,7 @@ def stratified_split(df: DataFrame, key: str, label: str, test_share: float = 0.
     placed = prefix_scan(marked, [label], ["hash_block"], ["mark", key], {"position": ("sum", "one")})
     sizes = df.groupBy(label).agg(F.count("*").alias("stratum"))
     test = F.col("position") <= F.ceil(F.col("stratum") * test_share)
-    return placed.join(sizes, label).withColumn("is_test", test).select(*df.columns, "is_test")
+    return placed.join(bounded(sizes), label).withColumn("is_test", test).select(*df.columns, "is_test")
 
 
 def auc(df: DataFrame, score: str, label: str, group: Sequence[str] = ()) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerloom.functions.scalars import safe_ratio
@@ -74,13 +74,15 @@ def points_usage_rate(spent: Column, accumulated: Column) -> Column:
 
 
 def snapshot_points(redemptions: DataFrame, offers: DataFrame, customer_ids: DataFrame, as_of: Column) -> DataFrame:
-    """Distinct (customer, ts): each redemption, each offer, and `as_of` for everyone."""
+    """(customer, ts) of each redemption, each offer, and `as_of` for everyone.
+
+    Points may repeat; as-of aggregation merges them in its own shuffle.
+    """
     return (
         redemptions.select(KEY, TS)
         .unionByName(offers.select(KEY, F.col("offer_ts").alias(TS)))
         .filter(F.col(TS) <= as_of)
         .unionByName(customer_ids.select(KEY, as_of.alias(TS)))
-        .distinct()
     )
 
 
@@ -189,30 +191,6 @@ def features_at(facts: DataFrame, customer_ids: DataFrame, at: Column) -> DataFr
     return fill_defaults(out, FEATURE_DEFAULTS | {"redemptions_60d": 0})
 
 
-def features_at_anchor(facts: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Features at one anchor per customer (`customer_id`, `anchor_ts`), NULL anchor: NULL features.
-
-    Each event meets its customer's only anchor, so the join does not fan out and
-    the aggregate is combined map-side.
-    """
-    anchor = F.col("anchor_ts")
-    got = (
-        facts.join(anchors.filter(anchor.isNotNull()), KEY)
-        .filter(asof(F.col(TS), anchor))
-        .groupBy(KEY, "anchor_ts")
-        .agg(*facts_measures(anchor))
-        .drop("anchor_ts")
-    )
-    out = anchors.join(got, KEY, "left").withColumns(
-        {
-            "days_since_redemption": days_since(F.col("last_redemption"), anchor),
-            "days_since_credit": days_since(F.col("last_credit"), anchor),
-        }
-    )
-    known = lambda c: F.when(anchor.isNotNull(), F.coalesce(F.col(c), F.lit(FEATURE_DEFAULTS[c]))).alias(c)
-    return out.select(KEY, anchor.alias(TS), *[known(c) for c in FEATURES])
-
-
 def latest(df: DataFrame, key: str, ts: str) -> DataFrame:
     """The newest row per key, by a map-side combined maximum."""
     rest = [c for c in df.columns if c not in (key, ts)]
@@ -222,7 +200,5 @@ def latest(df: DataFrame, key: str, ts: str) -> DataFrame:
 
 def recent(df: DataFrame, key: str, ts: str, n: int) -> DataFrame:
     """The newest `n` rows of every key, numbered from the newest."""
-    from pyspark.sql import Window
-
     order = Window.partitionBy(key).orderBy(F.col(ts).desc())
     return df.withColumn("recent_rank", F.row_number().over(order)).filter(F.col("recent_rank") <= n)

@@ -50,14 +50,9 @@ def fifo_lots(lots: DataFrame, spends: DataFrame, block_hours: int = BLOCK_HOURS
         [F.col("position").desc()],
         {"lot": ("min", "lot"), "spend": ("min", "spend")},
     )
-    return (
-        pieces.filter("lot is not null and spend is not null")
-        .select(
-            KEY,
-            "lot.lot_id",
-            "spend.spend_id",
-            (F.col("position") - F.coalesce("start", F.lit(0))).alias("points_used"),
-        )
-        .groupBy(KEY, "lot_id", "spend_id")
-        .agg(F.sum("points_used").alias("points_used"))
+    return pieces.filter("lot is not null and spend is not null").select(
+        KEY,
+        "lot.lot_id",
+        "spend.spend_id",
+        (F.col("position") - F.coalesce("start", F.lit(0))).alias("points_used"),
     )

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerloom.functions.timing import time_block
+from offerloom.functions.timing import time_block, ts_lit
 from offerloom.operators.scan import prefix_scan
 from offerloom.operators.timeline import BLOCK_HOURS
 
@@ -43,9 +43,18 @@ def pit_lookup(
     return spine.join(found, [key, spine_ts], "left")
 
 
-def last_before(points: DataFrame, key: str, ts: str, at: Column) -> DataFrame:
-    """The newest instant of each key at or before one common time."""
-    return points.filter(F.col(ts) <= at).groupBy(key).agg(F.max(ts).alias("anchor_ts"))
+def last_before(points: DataFrame, key: str, ts: str, runs: Sequence[str]) -> DataFrame:
+    """The newest instant of each key at or before each run, in one pass over `points`.
+
+    Returns (key, scored_at, anchor_ts); a key without such an instant has no row.
+    """
+    newest = points.groupBy(key).agg(
+        *[F.max(F.when(F.col(ts) <= ts_lit(run), F.col(ts))).alias(f"r{i}") for i, run in enumerate(runs)]
+    )
+    pairs = F.array(
+        *[F.struct(ts_lit(run).alias("scored_at"), F.col(f"r{i}").alias("anchor_ts")) for i, run in enumerate(runs)]
+    )
+    return newest.select(key, F.explode(pairs).alias("r")).select(key, "r.*").filter("anchor_ts is not null")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

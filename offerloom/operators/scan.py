@@ -49,12 +49,8 @@ def prefix_scan(
         .orderBy(*[F.col(b) for b in block])
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    local = df.select(
-        "*", *[_AGG[fn](col).over(inside).alias(f"_in_{out}") for out, (fn, col) in running.items()]
-    )
     totals = [_AGG[fn](col).alias(f"_t_{out}") for out, (fn, col) in running.items()]
     if keep:
-        local = local.filter(F.col(keep))
         totals.append(F.max(keep).alias("_wanted"))
     offsets = df.groupBy(*keys).agg(*totals)
     offsets = offsets.select(
@@ -65,9 +61,13 @@ def prefix_scan(
             for out, (fn, _) in running.items()
         ],
     )
+    within = [_AGG[fn](col).over(inside).alias(f"_in_{out}") for out, (fn, col) in running.items()]
     if keep:
-        offsets = offsets.filter("_wanted").drop("_wanted")
-    return local.join(offsets, keys).select(
+        # blocks without a wanted row end here; only the others are sorted and scanned
+        rows = df.join(offsets.filter("_wanted").drop("_wanted"), keys).select("*", *within).filter(F.col(keep))
+    else:
+        rows = df.select("*", *within).join(offsets, keys)
+    return rows.select(
         *[F.col(c) for c in df.columns if c not in running],
         *[
             _combine(fn, F.col(f"_in_{out}"), F.col(f"_off_{out}")).alias(out)

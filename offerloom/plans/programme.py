@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from offerloom.functions.timing import ts_lit
 from offerloom.operators import budget, features, pit, rules, scoring, segments
+from offerloom.operators.timeline import credit_changes, measures_at, mission_changes, redemption_changes
 from offerloom.sources import controls
 from offerloom.sources.fixtures import AS_OF, Tables
 
@@ -44,6 +45,10 @@ class Programme(Tables):
 
     @cached_property
     def points(self) -> DataFrame:
+        return self.every_point.distinct()
+
+    @cached_property
+    def every_point(self) -> DataFrame:
         return features.snapshot_points(self.redemptions, self.offers, self.customer_ids, self.now)
 
     @cached_property
@@ -53,12 +58,7 @@ class Programme(Tables):
     @cached_property
     def feature_table(self) -> DataFrame:
         """Features at every snapshot point; the distinct points come out of the scan itself."""
-        every_point = (
-            self.past_redemptions.select(KEY, TS)
-            .unionByName(self.offers.filter(F.col("offer_ts") <= self.now).select(KEY, F.col("offer_ts").alias(TS)))
-            .unionByName(self.customer_ids.select(KEY, self.now.alias(TS)))
-        )
-        return features.features_asof(every_point, self.past_redemptions, self.past_credits, self.past_missions)
+        return features.features_asof(self.every_point, self.past_redemptions, self.past_credits, self.past_missions)
 
     @cached_property
     def measures(self) -> DataFrame:
@@ -76,8 +76,6 @@ class Programme(Tables):
     @cached_property
     def labelled_offers(self) -> DataFrame:
         """Offers with the answer, from just the measures the answer depends on."""
-        from offerloom.operators.timeline import credit_changes, measures_at, mission_changes, redemption_changes
-
         changes = [
             redemption_changes(self.past_redemptions),
             credit_changes(self.past_credits, windows=(30,)),
@@ -136,20 +134,26 @@ class Programme(Tables):
     def final_offers(self) -> DataFrame:
         return budget.apply_budget(self.decisions, self.budgets)
 
-    def features_before(self, run_ts: str) -> DataFrame:
-        """What a lookup at `run_ts` finds in the feature table, NULL features if nothing.
+    def features_before(self, runs: Sequence[str]) -> DataFrame:
+        """What lookups at each run find in the feature table, NULL features if nothing.
 
-        Only each customer's newest snapshot can be found, so only that one is
-        computed.
+        A lookup can only find a customer's newest snapshot, so only those are
+        computed, for all runs on one timeline.
         """
-        newest = pit.last_before(self.points, KEY, TS, ts_lit(run_ts))
-        anchors = self.customer_ids.join(newest, KEY, "left")
-        return features.features_at_anchor(self.facts, anchors)
-
-    def score_batch(self, run_ts: str, version: int = MODEL_VERSION) -> DataFrame:
-        """Scored grid at a pinned instant with the features used, ready to append."""
-        looked_up = self.features_before(run_ts).drop(TS)
-        known = features.fill_defaults(looked_up, features.FEATURE_DEFAULTS)
+        found = pit.last_before(self.every_point, KEY, TS, runs)
+        at = features.features_asof(
+            found.select(KEY, F.col("anchor_ts").alias(TS)),
+            self.past_redemptions,
+            self.past_credits,
+            self.past_missions,
+        )
+        known = found.join(at.withColumnRenamed(TS, "anchor_ts"), [KEY, "anchor_ts"])
+        asked = self.customer_ids.select(KEY, F.explode(F.array(*[ts_lit(r) for r in runs])).alias("scored_at"))
+        return asked.join(known, [KEY, "scored_at"], "left").drop("anchor_ts")
+
+    def score_batch(self, *runs: str, version: int = MODEL_VERSION) -> DataFrame:
+        """Scored grid at pinned instants with the features used, ready to append."""
+        known = features.fill_defaults(self.features_before(runs), features.FEATURE_DEFAULTS)
         grid = scoring.score_grid(known, self.catalog)
         return grid.select(
             KEY,
@@ -159,13 +163,5 @@ class Programme(Tables):
             "cost",
             *features.FEATURES,
             F.lit(version).alias("model_version"),
-            ts_lit(run_ts).alias("scored_at"),
+            "scored_at",
         )
-
-    def snapshots(self, runs: Sequence[str]) -> DataFrame:
-        """The snapshot table after several runs."""
-        out = None
-        for run_ts in runs:
-            part = self.score_batch(run_ts)
-            out = part if out is None else out.unionByName(part)
-        return out

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from offerloom.functions.timing import ts_lit
+from offerloom.functions.timing import time_block, ts_lit
 from offerloom.operators import (
     budget,
     drift,
@@ -23,11 +23,12 @@ from offerloom.operators import (
     screening,
 )
 from offerloom.operators import timeline as tl
+from offerloom.operators.scan import prefix_scan
 from offerloom.plans import settings as st
 from offerloom.plans.programme import KEY, TS, Programme
 from offerloom.session import scratch_path, staged
 from offerloom.sources import controls, maintenance
-from offerloom.sources.fixtures import BEST_ML
+from offerloom.sources.fixtures import AS_OF, BEST_ML
 from offerloom.streaming import publish
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -528,8 +529,6 @@ def _member_changes(p: Programme) -> DataFrame:
         got = features.features_at(p.facts, p.customer_ids, ts_lit(at)).filter("redemptions_90d > 0")
         return got.select(KEY, "redemptions_total", "points_accumulated", "missions_30d")
 
-    from offerloom.sources.fixtures import AS_OF
-
     return maintenance.change_feed(members(st.EARLIER), members(AS_OF), [KEY])
 
 
@@ -599,12 +598,12 @@ def fifo_lots(p: Programme) -> DataFrame:
 
 @_query
 def drift_profile(p: Programme) -> DataFrame:
-    return drift.drift_profile(p.snapshots(st.DRIFT_RUNS), st.DRIFT_COLUMNS, "offer_type", "scored_at")
+    return drift.drift_profile(p.score_batch(*st.DRIFT_RUNS), st.DRIFT_COLUMNS, "offer_type", "scored_at")
 
 
 @_query
 def drift_ks(p: Programme) -> DataFrame:
-    held = staged(p.snapshots(st.DRIFT_RUNS), "snapshots")
+    held = staged(p.score_batch(*st.DRIFT_RUNS), "snapshots")
     first = F.col("scored_at") == ts_lit(st.DRIFT_RUNS[0])
     return drift.drift_ks(held.filter(~first), held.filter(first), st.DRIFT_COLUMNS, "offer_type", "scored_at")
 
@@ -618,9 +617,6 @@ def _stream(df: DataFrame, name: str) -> DataFrame:
 
 def _user_features(p: Programme) -> DataFrame:
     """Running counts per user at each event."""
-    from offerloom.functions.timing import time_block
-    from offerloom.operators.scan import prefix_scan
-
     marked = p.events.select("user_id", TS, "event_id", "event_type").withColumns(
         {
             "one": F.lit(1).cast("long"),
@@ -658,7 +654,7 @@ def streamed_scores(p: Programme) -> DataFrame:
 
 @_query
 def streamed_drift(p: Programme) -> DataFrame:
-    rows = p.snapshots(st.DRIFT_RUNS).select("offer_type", "p_accept", "scored_at")
+    rows = p.score_batch(*st.DRIFT_RUNS).select("offer_type", "p_accept", "scored_at")
     target, checkpoint = scratch_path(p.spark, "drift"), scratch_path(p.spark, "progress")
     publish.drift_stream(
         _stream(rows, "snapshots"), "p_accept", "offer_type", "scored_at", target, checkpoint

@@ -6,7 +6,6 @@ customer / orders / lineitem; nothing is generated.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,15 +23,19 @@ AS_OF = "2001-08-02 00:00:00"
 CREDIT_VALID_DAYS = 365
 
 
-@dataclass(frozen=True)
 class Tables:
     """The named tables of one data folder, read lazily."""
 
-    spark: SparkSession
-    folder: str
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark = spark
+        self.folder = folder
+        self._loaded: dict[str, DataFrame] = {}
 
     def load(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A scan of one table; its footers are read once."""
+        if name not in self._loaded:
+            self._loaded[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._loaded[name]
 
     @cached_property
     def customers(self) -> DataFrame:

@@ -11,10 +11,11 @@ from offerloom.operators.timeline import (
     KEY,
     TS,
     category_changes,
-    credit_changes,
+    credit_spec,
+    fact_changes,
     measures_at,
-    mission_changes,
-    redemption_changes,
+    mission_spec,
+    redemption_spec,
 )
 
 # The feature table's columns and the default of a recency without event.
@@ -86,16 +87,18 @@ def snapshot_points(redemptions: DataFrame, offers: DataFrame, customer_ids: Dat
     )
 
 
-def features_asof(
-    anchors: DataFrame, redemptions: DataFrame, credits: DataFrame, missions: DataFrame
-) -> DataFrame:
-    """The eight table features as of each anchor; a missing recency is 999."""
-    changes = [
-        redemption_changes(redemptions, windows=(90,)),
-        credit_changes(credits, windows=(30,)),
-        mission_changes(missions, windows=(30,)),
-    ]
-    got = measures_at(anchors, changes)
+def features_asof(anchors: DataFrame, facts: DataFrame, at_redemptions: bool = False) -> DataFrame:
+    """The eight table features as of each anchor; a missing recency is 999.
+
+    With `at_redemptions` every redemption in `facts` is an anchor too, without
+    another scan of them.
+    """
+    specs = {
+        "redemption": redemption_spec(windows=(90,), anchor=at_redemptions),
+        "credit": credit_spec(windows=(30,)),
+        "mission": mission_spec(windows=(30,)),
+    }
+    got = measures_at(anchors, [fact_changes(facts, specs)])
     got = got.withColumns(
         {
             "days_since_redemption": recency("last_redemption"),
@@ -105,16 +108,14 @@ def features_asof(
     return fill_defaults(got, FEATURE_DEFAULTS)
 
 
-def candidate_measures(
-    offers: DataFrame, redemptions: DataFrame, credits: DataFrame, missions: DataFrame
-) -> DataFrame:
+def candidate_measures(offers: DataFrame, facts: DataFrame) -> DataFrame:
     """All raw measures as of each offer, NULL where no event came before."""
-    changes = [
-        redemption_changes(redemptions, windows=(30, 60, 90), spend=True),
-        category_changes(redemptions, 90),
-        credit_changes(credits, windows=(15, 30, 60)),
-        mission_changes(missions, windows=(30,)),
-    ]
+    specs = {
+        "redemption": redemption_spec(windows=(30, 60, 90), spend=True),
+        "credit": credit_spec(windows=(15, 30, 60)),
+        "mission": mission_spec(windows=(30,)),
+    }
+    changes = [fact_changes(facts, specs), category_changes(facts.filter(F.col("kind") == "redemption"), 90)]
     at = measures_at(offers.select(KEY, F.col("offer_ts").alias(TS)), changes)
     return offers.join(at.withColumnRenamed(TS, "offer_ts"), [KEY, "offer_ts"], "left")
 
@@ -145,15 +146,17 @@ def candidates(measures: DataFrame, recency_default: int = 0) -> DataFrame:
     )
 
 
+FACT_COLUMNS = (KEY, "kind", TS, "points", "expiry_ts", "category")
+
+
 def customer_facts(redemptions: DataFrame, credits: DataFrame, missions: DataFrame) -> DataFrame:
-    """The three logs side by side in one narrow table, for aggregates at one anchor."""
-    kind = lambda name: F.lit(name).alias("kind")
-    no_expiry = F.lit(None).cast("timestamp_ntz").alias("expiry_ts")
-    return (
-        redemptions.select(KEY, kind("redemption"), TS, "points", no_expiry)
-        .unionByName(credits.select(KEY, kind("credit"), F.col("credit_ts").alias(TS), "points", "expiry_ts"))
-        .unionByName(missions.select(KEY, kind("mission"), TS, F.lit(0).cast("long").alias("points"), no_expiry))
-    )
+    """The three logs side by side in one narrow table."""
+    credited = credits.withColumnRenamed("credit_ts", TS)
+    out = None
+    for kind, log in (("redemption", redemptions), ("credit", credited), ("mission", missions)):
+        part = log.withColumn("kind", F.lit(kind)).select(*[c for c in FACT_COLUMNS if c == "kind" or c in log.columns])
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out.select(*FACT_COLUMNS)
 
 
 def facts_measures(anchor: Column) -> list[Column]:

@@ -9,7 +9,7 @@ events is quadratic per customer.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,38 +19,57 @@ from offerloom.operators.scan import prefix_scan
 
 KEY = "customer_id"
 TS = "ts"
+ANCHOR = "anchor"
 BLOCK_HOURS = 30 * 24
 
 LAST = {"last_redemption", "last_credit", "last_mission"}
 
+# What one event changes: instants, each with its changes by measure.
+Changes = Sequence[tuple[Column, dict[str, Column]]]
 
-def _explode_changes(events: DataFrame, changes: Sequence[tuple[Column, dict[str, Column]]]) -> DataFrame:
-    """One row per (instant, change); a single scan of `events` yields them all."""
-    names = list(dict.fromkeys(name for _, change in changes for name in change))
-    blank = {n: F.lit(None).cast(TS_TYPE) if n in LAST else F.lit(0).cast("long") for n in names}
-    rows = F.array(
+
+def _names(*specs: Changes) -> list[str]:
+    return list(dict.fromkeys(name for spec in specs for _, change in spec for name in change))
+
+
+def _rows(spec: Changes, names: Sequence[str]) -> Column:
+    """The changes of one event as an array of equally shaped structs."""
+
+    def blank(name: str) -> Column:
+        if name == ANCHOR:
+            return F.lit(False)
+        return F.lit(None).cast(TS_TYPE) if name in LAST else F.lit(0).cast("long")
+
+    return F.array(
         *[
-            F.struct(at.alias(TS), *[change.get(n, blank[n]).alias(n) for n in names])
-            for at, change in changes
+            F.struct(at.alias(TS), *[change.get(n, blank(n)).alias(n) for n in names])
+            for at, change in spec
         ]
     )
+
+
+def _unrolled(events: DataFrame, rows: Column) -> DataFrame:
     return events.select(KEY, F.explode(rows).alias("c")).select(KEY, "c.*").filter(F.col(TS).isNotNull())
 
 
-def redemption_changes(redemptions: DataFrame, windows: Sequence[int] = (), spend: bool = False) -> DataFrame:
-    """Changes of lifetime and trailing counts, last redemption and points spent."""
+def redemption_spec(windows: Sequence[int] = (), spend: bool = False, anchor: bool = False) -> Changes:
+    """Lifetime and trailing counts, last redemption, points spent.
+
+    With `anchor`, each redemption is a point at which measures are wanted.
+    """
     ts, one = F.col(TS), F.lit(1).cast("long")
     start = {"redemptions_total": one, "last_redemption": ts}
     if spend:
         start["points_spent"] = F.col("points")
+    if anchor:
+        start[ANCHOR] = F.lit(True)
     start |= {f"redemptions_{n}d": one for n in windows}
-    ends = [(ts + days(n), {f"redemptions_{n}d": -one}) for n in windows]
-    return _explode_changes(redemptions, [(ts, start), *ends])
+    return [(ts, start), *[(ts + days(n), {f"redemptions_{n}d": -one}) for n in windows]]
 
 
-def credit_changes(credits: DataFrame, windows: Sequence[int] = ()) -> DataFrame:
-    """Changes of accumulated, expired and soon-expiring points, and of the last credit."""
-    start, stop, points = F.col("credit_ts"), F.col("expiry_ts"), F.col("points")
+def credit_spec(windows: Sequence[int] = (), start_column: str = TS) -> Changes:
+    """Accumulated, expired and soon-expiring points, last credit."""
+    start, stop, points = F.col(start_column), F.col("expiry_ts"), F.col("points")
     live = F.when(stop > start, points).otherwise(F.lit(0).cast("long"))
     ended = F.when(stop.isNotNull(), F.greatest(start, stop))
     changes = [
@@ -60,15 +79,38 @@ def credit_changes(credits: DataFrame, windows: Sequence[int] = ()) -> DataFrame
     for n in windows:
         opens = F.when(stop.isNotNull(), F.greatest(start, stop - days(n)))
         changes.append((opens, {f"points_expiring_{n}d": live}))
-    return _explode_changes(credits, changes)
+    return changes
 
 
-def mission_changes(missions: DataFrame, windows: Sequence[int] = (30,)) -> DataFrame:
-    """Changes of trailing mission counts and of the last mission."""
+def mission_spec(windows: Sequence[int] = (30,)) -> Changes:
+    """Trailing mission counts, last mission."""
     ts, one = F.col(TS), F.lit(1).cast("long")
     start = {"last_mission": ts} | {f"missions_{n}d": one for n in windows}
-    ends = [(ts + days(n), {f"missions_{n}d": -one}) for n in windows]
-    return _explode_changes(missions, [(ts, start), *ends])
+    return [(ts, start), *[(ts + days(n), {f"missions_{n}d": -one}) for n in windows]]
+
+
+def redemption_changes(redemptions: DataFrame, windows: Sequence[int] = (), spend: bool = False) -> DataFrame:
+    spec = redemption_spec(windows, spend)
+    return _unrolled(redemptions, _rows(spec, _names(spec)))
+
+
+def credit_changes(credits: DataFrame, windows: Sequence[int] = ()) -> DataFrame:
+    spec = credit_spec(windows, "credit_ts")
+    return _unrolled(credits, _rows(spec, _names(spec)))
+
+
+def mission_changes(missions: DataFrame, windows: Sequence[int] = (30,)) -> DataFrame:
+    spec = mission_spec(windows)
+    return _unrolled(missions, _rows(spec, _names(spec)))
+
+
+def fact_changes(facts: DataFrame, specs: Mapping[str, Changes]) -> DataFrame:
+    """Changes of all kinds of facts from a single scan of them."""
+    names = _names(*specs.values())
+    rows = None
+    for kind, spec in specs.items():
+        rows = (F if rows is None else rows).when(F.col("kind") == kind, _rows(spec, names))
+    return _unrolled(facts, rows)
 
 
 def category_changes(redemptions: DataFrame, window: int = 90, block_hours: int = BLOCK_HOURS) -> DataFrame:
@@ -87,7 +129,7 @@ def category_changes(redemptions: DataFrame, window: int = 90, block_hours: int
     )
     ts, one, name = F.col(TS), F.lit(1).cast("long"), f"categories_{window}d"
     end = F.least(ts + days(window), F.col("next_ts"))
-    return _explode_changes(nexts, [(ts, {name: one}), (end, {name: -one})])
+    return _unrolled(nexts, _rows([(ts, {name: one}), (end, {name: -one})], [name]))
 
 
 def measures_at(
@@ -99,18 +141,17 @@ def measures_at(
     in blocks of `block_hours`, so one with a third of all events still spreads
     over the tasks; take shorter blocks for sources with dense sub-day times.
     """
-    frames = [c for c in changes]
-    names = list(dict.fromkeys(n for c in frames for n in c.columns if n not in (KEY, TS)))
-    line = anchors.select(KEY, TS, F.lit(True).alias("anchor"))
-    for frame in frames:
+    names = list(dict.fromkeys(n for c in changes for n in c.columns if n not in (KEY, TS, ANCHOR)))
+    line = anchors.select(KEY, TS, F.lit(True).alias(ANCHOR))
+    for frame in changes:
         line = line.unionByName(frame, allowMissingColumns=True)
     line = (
         line.groupBy(KEY, TS)
         .agg(
             *[(F.max(n) if n in LAST else F.sum(n)).alias(n) for n in names],
-            F.coalesce(F.max("anchor"), F.lit(False)).alias("anchor"),
+            F.coalesce(F.max(ANCHOR), F.lit(False)).alias(ANCHOR),
         )
         .withColumn("block", time_block(F.col(TS), block_hours))
     )
     running = {n: ("max" if n in LAST else "sum", n) for n in names}
-    return prefix_scan(line, [KEY], ["block"], [TS], running, keep="anchor").drop("block", "anchor")
+    return prefix_scan(line, [KEY], ["block"], [TS], running, keep=ANCHOR).drop("block", ANCHOR)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from offerloom.functions.timing import ts_lit
 from offerloom.operators import budget, features, pit, rules, scoring, segments
-from offerloom.operators.timeline import credit_changes, measures_at, mission_changes, redemption_changes
+from offerloom.operators.timeline import credit_spec, fact_changes, measures_at, mission_spec, redemption_spec
 from offerloom.sources import controls
 from offerloom.sources.fixtures import AS_OF, Tables
 
@@ -52,19 +52,23 @@ class Programme(Tables):
         return features.snapshot_points(self.redemptions, self.offers, self.customer_ids, self.now)
 
     @cached_property
-    def facts(self) -> DataFrame:
-        return features.customer_facts(self.redemptions, self.credits, self.missions)
+    def past_facts(self) -> DataFrame:
+        return self.facts.filter(F.col(TS) <= self.now)
+
+    @cached_property
+    def other_points(self) -> DataFrame:
+        """Snapshot points that are not redemptions."""
+        offered = self.offers.filter(F.col("offer_ts") <= self.now).select(KEY, F.col("offer_ts").alias(TS))
+        return offered.unionByName(self.customer_ids.select(KEY, self.now.alias(TS)))
 
     @cached_property
     def feature_table(self) -> DataFrame:
-        """Features at every snapshot point; the distinct points come out of the scan itself."""
-        return features.features_asof(self.every_point, self.past_redemptions, self.past_credits, self.past_missions)
+        """Features at every snapshot point; redemptions mark their own in the scan of the facts."""
+        return features.features_asof(self.other_points, self.past_facts, at_redemptions=True)
 
     @cached_property
     def measures(self) -> DataFrame:
-        return features.candidate_measures(
-            self.offers, self.past_redemptions, self.past_credits, self.past_missions
-        )
+        return features.candidate_measures(self.offers, self.past_facts)
 
     @cached_property
     def candidates(self) -> DataFrame:
@@ -76,12 +80,12 @@ class Programme(Tables):
     @cached_property
     def labelled_offers(self) -> DataFrame:
         """Offers with the answer, from just the measures the answer depends on."""
-        changes = [
-            redemption_changes(self.past_redemptions),
-            credit_changes(self.past_credits, windows=(30,)),
-            mission_changes(self.past_missions, windows=(30,)),
-        ]
-        at = measures_at(self.offers.select(KEY, F.col("offer_ts").alias(TS)), changes)
+        specs = {
+            "redemption": redemption_spec(),
+            "credit": credit_spec(windows=(30,)),
+            "mission": mission_spec(windows=(30,)),
+        }
+        at = measures_at(self.offers.select(KEY, F.col("offer_ts").alias(TS)), [fact_changes(self.past_facts, specs)])
         joined = self.offers.join(at.withColumnRenamed(TS, "offer_ts"), [KEY, "offer_ts"], "left")
         joined = joined.withColumn("days_since_redemption", features.recency("last_redemption", "offer_ts"))
         return scoring.with_label(joined)
@@ -141,12 +145,7 @@ class Programme(Tables):
         computed, for all runs on one timeline.
         """
         found = pit.last_before(self.every_point, KEY, TS, runs)
-        at = features.features_asof(
-            found.select(KEY, F.col("anchor_ts").alias(TS)),
-            self.past_redemptions,
-            self.past_credits,
-            self.past_missions,
-        )
+        at = features.features_asof(found.select(KEY, F.col("anchor_ts").alias(TS)), self.past_facts)
         known = found.join(at.withColumnRenamed(TS, "anchor_ts"), [KEY, "anchor_ts"])
         asked = self.customer_ids.select(KEY, F.explode(F.array(*[ts_lit(r) for r in runs])).alias("scored_at"))
         return asked.join(known, [KEY, "scored_at"], "left").drop("anchor_ts")

@@ -95,6 +95,31 @@ class Tables:
             .select("customer_id", F.col("l_shipdate").cast(TS_TYPE).alias("ts"))
         )
 
+    @cached_property
+    def facts(self) -> DataFrame:
+        """Redemptions, credits and missions in one table, from one scan of the lines."""
+        flag, ts = F.col("l_returnflag"), F.col("l_shipdate").cast(TS_TYPE)
+        kind = (
+            F.when(flag == "R", "redemption")
+            .when(flag == "A", "credit")
+            .when((flag == "N") & (F.col("l_linestatus") == "F"), "mission")
+        )
+        owners = self.load("orders").select("o_orderkey", "o_custkey")
+        return (
+            self.load("lineitem")
+            .withColumn("kind", kind)
+            .filter("kind is not null")
+            .join(owners, F.col("l_orderkey") == F.col("o_orderkey"))
+            .select(
+                F.col("o_custkey").alias("customer_id"),
+                "kind",
+                ts.alias("ts"),
+                (F.col("l_quantity").cast("long") * 10).alias("points"),
+                F.when(flag == "A", ts + days(CREDIT_VALID_DAYS)).alias("expiry_ts"),
+                F.when(flag == "R", F.col("l_linenumber").cast("string")).alias("category"),
+            )
+        )
+
     @cached_property
     def offers(self) -> DataFrame:
         code = F.substring("o_orderpriority", 1, 1)

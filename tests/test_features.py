@@ -26,7 +26,7 @@ def persona(spark):
     cred = [(1, day(-345), 900, day(20)), (1, day(-60), 300, day(305))]
     mis = [(1, day(-25)), (1, day(-10))]
     offers = [(1, 1, day(-200), "discount", 1), (2, 1, day(-35), "cashback", 3), (3, 1, day(0), "bonus", 1)]
-    return {
+    logs = {
         "red": spark.createDataFrame(red, "customer_id long, ts timestamp_ntz, points long, category string"),
         "cred": spark.createDataFrame(
             cred, "customer_id long, credit_ts timestamp_ntz, points long, expiry_ts timestamp_ntz"
@@ -36,6 +36,8 @@ def persona(spark):
             offers, "offer_id long, customer_id long, offer_ts timestamp_ntz, offer_type string, level int"
         ),
     }
+    logs["facts"] = features.customer_facts(logs["red"], logs["cred"], logs["mis"])
+    return logs
 
 
 # offer at day -200, -35 and 0
@@ -61,22 +63,21 @@ EXPECTED = {
 
 
 def test_persona_candidates(persona):
-    measures = features.candidate_measures(persona["offers"], persona["red"], persona["cred"], persona["mis"])
+    measures = features.candidate_measures(persona["offers"], persona["facts"])
     rows = sorted(features.candidates(measures).collect(), key=lambda r: r.offer_id)
     for name, want in EXPECTED.items():
         assert tuple(r[name] for r in rows) == want, name
 
 
 def test_recency_default_regimes(persona):
-    measures = features.candidate_measures(persona["offers"], persona["red"], persona["cred"], persona["mis"])
+    measures = features.candidate_measures(persona["offers"], persona["facts"])
     ages = {r.offer_id: r.days_since_mission for r in features.candidates(measures, recency_default=999).collect()}
     assert ages == {1: 999, 2: 999, 3: 10}
 
 
 def test_persona_segment_and_customer_without_events(spark, persona):
-    facts = features.customer_facts(persona["red"], persona["cred"], persona["mis"])
     ids = spark.createDataFrame([(1,), (2,)], "customer_id long")
-    rows = {r.customer_id: r for r in customer_base(features.features_at(facts, ids, ts_lit("2024-06-01"))).collect()}
+    rows = {r.customer_id: r for r in customer_base(features.features_at(persona["facts"], ids, ts_lit("2024-06-01"))).collect()}
     assert rows[1].segment == "champion" and rows[1].redemptions_total == 8
     assert rows[2].segment == "new" and rows[2].redemptions_total == 0 and rows[2].days_since_redemption == 999
 
@@ -188,7 +189,7 @@ def test_prefix_scan_equals_plain_window(spark):
 
 def test_both_passes_of_a_scan_share_their_shuffle(skewed):
     anchors, red, cred, mis = skewed
-    got = features.features_asof(anchors, red, cred, mis)
+    got = features.features_asof(anchors, features.customer_facts(red, cred, mis))
     got.collect()
     plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "ReusedExchange" in plan
@@ -199,10 +200,7 @@ def test_later_events_change_nothing(spark, folder):
 
     p, q = Programme(spark, folder), Programme(spark, folder)
     cut = ts_lit("2000-01-01")
-    q.past_redemptions = p.past_redemptions.filter(F.col("ts") <= cut)
-    q.past_credits = p.past_credits.filter(F.col("credit_ts") <= cut)
-    q.past_missions = p.past_missions.filter(F.col("ts") <= cut)
-    q.every_point = p.every_point
+    q.past_facts = p.past_facts.filter(F.col("ts") <= cut)
     early = lambda x: x.feature_table.filter(F.col("ts") <= cut)
     assert early(p).exceptAll(early(q)).count() == 0
 
@@ -228,3 +226,12 @@ def test_expiry_windows_nest(spark, folder):
 def test_unknown_default_column_is_an_error(spark):
     with pytest.raises(ValueError):
         features.fill_defaults(spark.range(1), {"nothing": 0})
+
+
+def test_one_scan_of_facts_equals_three_logs(spark, folder):
+    from offerloom.plans.programme import Programme
+
+    p = Programme(spark, folder)
+    three = features.customer_facts(p.redemptions, p.credits, p.missions)
+    one = p.facts.withColumn("points", F.when(F.col("kind") != "mission", F.col("points")))
+    assert one.exceptAll(three).count() == 0 and three.exceptAll(one).count() == 0

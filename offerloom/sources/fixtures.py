@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerloom.functions.timing import TS_TYPE, days
+from offerloom.session import spread
 
 # The offer types in catalogue order, and "now" for the given tables.
 OFFER_TYPES = ("cashback", "bonus", "discount", "mission")
@@ -23,6 +24,10 @@ AS_OF = "2001-08-02 00:00:00"
 CREDIT_VALID_DAYS = 365
 
 
+# Tables whose rows are unrolled or aggregated right after the scan.
+EXPANDED = {"lineitem"}
+
+
 class Tables:
     """The named tables of one data folder, read lazily."""
 
@@ -34,7 +39,8 @@ class Tables:
     def load(self, name: str) -> DataFrame:
         """A scan of one table; its footers are read once."""
         if name not in self._loaded:
-            self._loaded[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            scan = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            self._loaded[name] = spread(scan) if name in EXPANDED else scan
         return self._loaded[name]
 
     @cached_property

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from offerloom.functions.scalars import value_block
@@ -37,39 +37,50 @@ def drift_profile(snapshot: DataFrame, columns: Sequence[str], slice_by: str, ts
     return cells.groupBy("window_start", slice_by, "column").agg(*profile_measures(F.col("value")))
 
 
+def _sizes(grouped: GroupedData, keys: Sequence[str], columns: Sequence[str], name: str) -> DataFrame:
+    """Number of values per group and column, without unrolling the rows first."""
+    wide = grouped.agg(*[F.count(c).alias(f"_{c}") for c in columns])
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_{c}").alias(name)) for c in columns])
+    return wide.select(*keys, F.explode(cells).alias("c")).select(*keys, "c.*")
+
+
 def drift_ks(snapshot: DataFrame, baseline: DataFrame, columns: Sequence[str], slice_by: str, ts: str) -> DataFrame:
     """Largest gap between a day's distribution and the baseline's, per column and slice.
 
     Values are counted first; the scan then runs over distinct values. Each day
     needs the whole baseline, whose counts are repeated once per day seen. The
-    list of days is small and joined as such, since (slice, column) has few values.
+    table of sizes has a row per day, slice and column; it is joined as a small
+    side, since those keys have few values.
     """
     by = [slice_by, "column"]
+    group = ["window_start", *by]
+    day = F.date_trunc("day", ts).cast("timestamp_ntz").alias("window_start")
+    here = _sizes(snapshot.groupBy(day, slice_by), ["window_start", slice_by], columns, "n_here")
+    there = _sizes(baseline.groupBy(slice_by), [slice_by], columns, "n_there")
+    sizes = bounded(here.join(there, by).filter("n_here > 0 and n_there > 0"))
+
+    zero = F.lit(0).cast("long")
     cells = _long_form(snapshot, columns, slice_by, ts).filter("value is not null")
-    now = cells.groupBy("window_start", *by, "value").agg(F.count("*").alias("here"))
+    now = cells.groupBy(*group, "value").agg(F.count("*").alias("here"))
     old = (
         _long_form(baseline, columns, slice_by, ts)
         .filter("value is not null")
         .groupBy(*by, "value")
         .agg(F.count("*").alias("there"))
     )
-    days_seen = now.select("window_start", *by).distinct()
-    zero = F.lit(0).cast("long")
     both = (
         now.withColumn("there", zero)
-        .unionByName(old.join(bounded(days_seen), by).withColumn("here", zero))
-        .groupBy("window_start", *by, "value")
+        .unionByName(old.join(sizes.select(*group), by).withColumn("here", zero))
+        .groupBy(*group, "value")
         .agg(F.sum("here").alias("here"), F.sum("there").alias("there"))
         .withColumn("value_block", value_block(F.col("value")))
     )
-    group = ["window_start", *by]
     steps = prefix_scan(
         both, group, ["value_block"], ["value"], {"cum_here": ("sum", "here"), "cum_there": ("sum", "there")}
     )
-    sizes = both.groupBy(*group).agg(F.sum("here").alias("n_here"), F.sum("there").alias("n_there"))
     gap = F.abs(F.col("cum_here") / F.col("n_here") - F.col("cum_there") / F.col("n_there"))
     return (
-        steps.join(bounded(sizes.filter("n_here > 0 and n_there > 0")), group)
+        steps.join(sizes, group)
         .groupBy(*group)
         .agg(F.round(F.max(gap), 6).alias("ks"), F.max("n_here").alias("n"), F.max("n_there").alias("n_baseline"))
     )

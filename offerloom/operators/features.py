@@ -87,18 +87,25 @@ def snapshot_points(redemptions: DataFrame, offers: DataFrame, customer_ids: Dat
     )
 
 
-def features_asof(anchors: DataFrame, facts: DataFrame, at_redemptions: bool = False) -> DataFrame:
+def features_asof(
+    anchors: DataFrame, facts: DataFrame, at_redemptions: bool = False, until: Column | None = None
+) -> DataFrame:
     """The eight table features as of each anchor; a missing recency is 999.
 
     With `at_redemptions` every redemption in `facts` is an anchor too, without
-    another scan of them.
+    another scan of them. `until` is the last anchor if known: what happens later
+    is left out before the shuffle.
     """
     specs = {
         "redemption": redemption_spec(windows=(90,), anchor=at_redemptions),
         "credit": credit_spec(windows=(30,)),
         "mission": mission_spec(windows=(30,)),
     }
-    got = measures_at(anchors, [fact_changes(facts, specs)])
+    if until is None:
+        changes = fact_changes(facts, specs)
+    else:
+        changes = fact_changes(facts.filter(F.col(TS) <= until), specs).filter(F.col(TS) <= until)
+    got = measures_at(anchors, [changes])
     got = got.withColumns(
         {
             "days_since_redemption": recency("last_redemption"),

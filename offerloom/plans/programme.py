@@ -64,7 +64,7 @@ class Programme(Tables):
     @cached_property
     def feature_table(self) -> DataFrame:
         """Features at every snapshot point; redemptions mark their own in the scan of the facts."""
-        return features.features_asof(self.other_points, self.past_facts, at_redemptions=True)
+        return features.features_asof(self.other_points, self.past_facts, at_redemptions=True, until=self.now)
 
     @cached_property
     def measures(self) -> DataFrame:
@@ -145,7 +145,9 @@ class Programme(Tables):
         computed, for all runs on one timeline.
         """
         found = pit.last_before(self.every_point, KEY, TS, runs)
-        at = features.features_asof(found.select(KEY, F.col("anchor_ts").alias(TS)), self.past_facts)
+        at = features.features_asof(
+            found.select(KEY, F.col("anchor_ts").alias(TS)), self.past_facts, until=ts_lit(max(runs))
+        )
         known = found.join(at.withColumnRenamed(TS, "anchor_ts"), [KEY, "anchor_ts"])
         asked = self.customer_ids.select(KEY, F.explode(F.array(*[ts_lit(r) for r in runs])).alias("scored_at"))
         return asked.join(known, [KEY, "scored_at"], "left").drop("anchor_ts")

@@ -193,13 +193,6 @@ def _draft_conditions():
     return """'[{"field":"segment","op":"=","value":"' || segment || '"},{"field":"score","op":">=","value":' || threshold::varchar || '}]'"""
 
 
-COUNTED = [
-    ("r", "redemptions_total", "count(*)"),
-    ("r", "redemptions_30d", "count(*) filter (where e.ts > o.offer_ts - interval 30 day)"),
-    ("r", "redemptions_60d", "count(*) filter (where e.ts > o.offer_ts - interval 60 day)"),
-    ("r", "redemptions_90d", "count(*) filter (where e.ts > o.offer_ts - interval 90 day)"),
-]
-
 CTES: dict[str, str] = {
     "customers": """select c_custkey as customer_id, r_name as region, c_mktsegment as market from customer
         left join nation on c_nationkey = n_nationkey left join region on n_regionkey = r_regionkey""",

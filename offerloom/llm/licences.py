@@ -58,7 +58,7 @@ def canonical_lines(text: Column) -> Column:
     out = F.regexp_replace(F.regexp_replace(out, COPYRIGHT_LINE, ""), NOT_WORD, " ")
     for old, new in WORD_SPELLINGS:
         out = F.replace(out, F.lit(old), F.lit(new))
-    return F.filter(F.transform(F.split(out, "\n"), F.trim), lambda line: line != "")
+    return F.filter(F.transform(F.split(out, "\n"), lambda line: F.trim(line)), lambda line: line != "")
 
 
 def digest(canon: Column) -> Column:

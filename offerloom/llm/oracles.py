@@ -1,5 +1,179 @@
 """DuckDB SQL of the registered queries that SQL can express."""
 
+from __future__ import annotations
+
+from offerloom.llm import licences, quotes, site_lines, urls
+from offerloom.llm.frames import LOWER, UPPER
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _lower(text: str) -> str:
+    return f"translate(coalesce({text}, ''), '{UPPER}', '{LOWER}')"
+
+
+EXACT = f"""
+with t as (select doc_id, {_lower("text")} as norm from documents),
+g as (select norm, max(doc_id) as keep_id, count(*) as group_size from t group by norm)
+select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(norm) as text_sha256
+from t join g using (norm)
+"""
+
+
+def licence_sql() -> str:
+    canon = "lower(coalesce(text, ''))"
+    for old, new in licences.SPELLINGS:
+        canon = f"replace({canon}, {_text(old)}, {_text(new)})"
+    canon = f"regexp_replace({canon}, {_text(licences.COPYRIGHT_LINE)}, '', 'g')"
+    canon = f"regexp_replace({canon}, {_text(licences.NOT_WORD)}, ' ', 'g')"
+    for old, new in licences.WORD_SPELLINGS:
+        canon = f"replace({canon}, {_text(old)}, {_text(new)})"
+    lines = f"list_filter(list_transform(string_split({canon}, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '')"
+    known = ", ".join(f"({_text(name)}, {_text(text)})" for name, text in licences.KNOWN)
+    return f"""
+with known as (
+  select array_to_string({lines}, ' ') as canon, min(licence) as licence
+  from (values {known}) v(licence, text) group by 1),
+t as (select doc_id, {lines} as ls from documents),
+u as (
+  select doc_id, unnest(ls) as canon, false as entire from t where len(ls) > 1
+  union all select doc_id, array_to_string(ls, ' '), true from t),
+f as (
+  select doc_id, list_sort(list_distinct(list(licence))) as found, min(case when entire then licence end) as whole
+  from u join known using (canon) group by doc_id)
+select t.doc_id, coalesce(len(found), 0)::bigint as n_licences,
+  coalesce(array_to_string(found, ','), '') as licences, whole
+from t left join f using (doc_id)
+"""
+
+
+def site_line_sql(ratio: float = site_lines.RATIO, least_pages: int = site_lines.LEAST_PAGES) -> str:
+    text = f"regexp_replace(coalesce(html, ''), {_text(site_lines.HIDDEN)}, chr(10), 'g')"
+    text = f"regexp_replace({text}, {_text(site_lines.BLOCK)}, chr(10), 'g')"
+    text = f"regexp_replace({text}, {_text(site_lines.ANY_TAG)}, '', 'g')"
+    for reference, char in site_lines.REFERENCES:
+        text = f"replace({text}, {_text(reference)}, {_text(char)})"
+    text = f"regexp_replace({text}, {_text(site_lines.BLANKS)}, ' ', 'g')"
+    return f"""
+with p as (
+  select page_id, row_number() over () as k,
+    {_lower("regexp_extract(case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end, '^[^/?#]*')")} as host,
+    list_filter(list_transform(string_split({text}, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '') as ls
+  from pages),
+totals as (select host, count(*) as n from p group by host having count(*) >= {least_pages}),
+line as (select distinct k, host, unnest(ls) as line from p),
+over as (
+  select host, line from line join totals using (host)
+  group by host, line, n having count(*) > {ratio} * n),
+list as (select host, list(line) as common from over group by host),
+kept as (
+  select page_id, p.host, ls, list_filter(ls, lambda x: not coalesce(list_contains(common, x), false)) as rest
+  from p left join list on p.host = list.host)
+select page_id, host, len(ls)::bigint as n_lines, (len(ls) - len(rest))::bigint as n_dropped,
+  sha256(array_to_string(rest, chr(10))) as text_sha256
+from kept
+"""
+
+
+def quotation_sql() -> str:
+    quote = _text(quotes.QUOTE)
+    line = f"trim(regexp_replace(regexp_replace(l, {quote}, ''), {_text(quotes.BLANKS)}, ' ', 'g'), ' ')"
+    level = f"len(regexp_replace(regexp_extract(l, {quote}, 1), '[^>]', '', 'g'))"
+    normal = f"trim(regexp_replace(lower(passage), {_text(quotes.NOT_WORD)}, ' ', 'g'), ' ')"
+    return f"""
+with recursive m as (select row_number() over () as k, * from conversations),
+raw as (
+  select k, conv_id, turn, unnest(string_split(coalesce(text, ''), chr(10))) as l,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos
+  from m),
+lines as (select * from (select k, conv_id, turn, pos, {level}::bigint as level, {line} as line from raw) where line <> ''),
+quoting as (select distinct k from lines where level > 0),
+own as (
+  select * from lines where level = 0
+    and not (k in (select k from quoting) and regexp_matches(line, {_text(quotes.ATTRIBUTION)}))),
+said as (
+  select k, conv_id, turn, 0::bigint as level, string_agg(line, ' ' order by pos) as passage from own group by all
+  union select k, conv_id, turn, level, line from own
+  union all
+  select k, conv_id, turn, level, string_agg(line, ' ' order by pos) from lines where level > 0 group by all
+  union select k, conv_id, turn, level, line from lines where level > 0),
+unit as (select * from (select conv_id, turn, level, {normal} as normal from said) where normal <> ''),
+first as (select conv_id, normal, min(turn) as origin from unit where level = 0 group by all),
+answer as (
+  select conv_id, turn, arg_max(origin, (-level) * 1000000000 + origin) as answers
+  from unit join first using (conv_id, normal) where level > 0 and origin < turn group by all),
+chain as (
+  select conv_id, turn, answers as top, 1::bigint as depth from answer
+  union all
+  select c.conv_id, c.turn, a.answers, c.depth + 1 from chain c join answer a on a.conv_id = c.conv_id and a.turn = c.top),
+placed as (select conv_id, turn, arg_max(top, depth) as thread, max(depth) as depth from chain group by all),
+body as (select k, string_agg(line, chr(10) order by pos) as text from own group by k)
+select m.conv_id, m.turn, m.role, answers,
+  coalesce(thread, case when m.conv_id is not null then m.turn end) as thread,
+  coalesce(depth, 0) as depth, coalesce(body.text, '') as text
+from m left join body using (k)
+left join answer on answer.conv_id = m.conv_id and answer.turn = m.turn
+left join placed on placed.conv_id = m.conv_id and placed.turn = m.turn
+"""
+
+
+def url_sql() -> str:
+    rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in urls.RULES)
+    rest = "case when strpos({0}, '://') > 0 then substr({0}, strpos({0}, '://') + 3) else '' end"
+
+    def host(x: str) -> str:
+        return _lower(f"regexp_extract({rest.format(x)}, '^[^/?#]*')")
+
+    def path(x: str) -> str:
+        return f"coalesce(regexp_extract({rest.format(x)}, '^[^/?#]*([^?#]*)', 1), '')"
+
+    def key(x: str) -> str:
+        return f"({host(x)} || coalesce(regexp_extract({rest.format(x)}, '^[^/?#]*([^#]*)', 1), ''))"
+
+    fit = """
+  select s.host, s.path, arg_max(r.host || r.path, len(r.host || r.path)) as rule,
+    arg_max(verdict, len(r.host || r.path)) as verdict
+  from (select distinct host, path from {0}) s join rules r
+    on (s.host = r.host or ends_with(s.host, '.' || r.host)) and starts_with(s.path, r.path)
+  group by all"""
+    return f"""
+with recursive rules(verdict, host, path) as (values {rules}),
+p as (select page_id, {host("url")} as host, {path("url")} as path, {key("url")} as key, url, html from pages),
+tags as (select url, key, unnest(regexp_extract_all(coalesce(html, ''), {_text(urls.TAG)})) as tag from p where host <> ''),
+links as (
+  select url, key, case
+    when regexp_matches(tag, {_text(urls.CANONICAL)}) then regexp_extract(tag, {_text(urls.HREF)}, 1)
+    when regexp_matches(tag, {_text(urls.REFRESH)}) then regexp_extract(tag, {_text(urls.TARGET)}, 1) end as goal
+  from tags),
+whole as (
+  select key as a, case when strpos(goal, '://') > 0 then goal
+    when starts_with(goal, '//') then split_part(url, '://', 1) || ':' || goal
+    when starts_with(goal, '/') then split_part(url, '://', 1) || '://' || {host("url")} || goal
+    else split_part(url, '://', 1) || '://' || {host("url")}
+      || coalesce(nullif(regexp_extract({path("url")}, '^(.*/)', 1), ''), '/') || goal end as goal
+  from links where goal <> ''),
+edge as (select a, {key("goal")} as b from whole),
+twoway as (select a, b from edge where a <> b and b <> '' union select b, a from edge where a <> b and b <> ''),
+reach as (select a, b from twoway union select r.a, e.b from reach r join twoway e on r.b = e.a),
+node as (select distinct b as key, 'any://' || b as url from twoway),
+site as (select key, {host("url")} as host, {path("url")} as path from node),
+node_rule as ({fit.format("site")}),
+bad as (select distinct r.a as key from reach r join site on r.b = site.key join node_rule using (host, path) where verdict = 'block'),
+page_rule as ({fit.format("p")})
+select page_id, p.host, p.path, rule,
+  coalesce(verdict, case when bad.key is not null then 'block' else 'allow' end) as verdict
+from p left join page_rule on p.host = page_rule.host and p.path = page_rule.path
+left join bad on p.key = bad.key
+"""
+
 
 def statements() -> dict[str, str]:
-    return {}
+    return {
+        "op2_quotation_linking": quotation_sql(),
+        "op3_site_line_dedup": site_line_sql(),
+        "op8_url_filters": url_sql(),
+        "op9_exact_dedup": EXACT,
+        "op10_license_scans": licence_sql(),
+    }

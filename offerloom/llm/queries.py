@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from offerloom.llm import decontamination, exact_dedup, licences, near_dedup, pieces, quality
+from offerloom.llm import decontamination, exact_dedup, licences, near_dedup, pieces, quality, quotes, site_lines, urls
 from offerloom.llm.frames import table
 
 
@@ -17,6 +17,14 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op2_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
+    return quotes.link_conversations(table(spark, folder, "conversations"))
+
+
+def op3_site_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return site_lines.report(site_lines.site_dedup(table(spark, folder, "pages")))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
     return decontamination.report(decontamination.contamination(docs, items))
@@ -34,6 +42,10 @@ def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.report(near_dedup.near_classes(table(spark, folder, "documents"), size=4))
 
 
+def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.filter_urls(table(spark, folder, "pages"))
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.report(table(spark, folder, "documents"))
 

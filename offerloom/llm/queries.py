@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from offerloom.llm import decontamination, exact_dedup, licences, near_dedup, pieces, quality, quotes, site_lines, urls
+from offerloom.llm import decontamination, exact_dedup, licences, near_dedup, passages, pieces, quality, quotes, site_lines, urls
 from offerloom.llm.frames import table
 
 
@@ -17,6 +17,10 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.report(passages.repeats(table(spark, folder, "documents")))
+
+
 def op2_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
     return quotes.link_conversations(table(spark, folder, "conversations"))
 

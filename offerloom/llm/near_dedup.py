@@ -38,7 +38,7 @@ from offerloom.session import staged
 
 ORDERS, DEPTH = 24, 4
 VALUES = ORDERS * DEPTH
-NEIGHBOURS = 4
+NEIGHBOURS = 6
 PERCENT = 80
 _RNG = np.random.Generator(np.random.PCG64(77))
 _FLIP = _RNG.integers(0, 2**32, VALUES, dtype=np.uint32)

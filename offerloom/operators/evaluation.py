@@ -31,7 +31,8 @@ def stratified_split(df: DataFrame, key: str, label: str, test_share: float = 0.
     placed = prefix_scan(marked, [label], ["hash_block"], ["mark", key], {"position": ("sum", "one")})
     sizes = df.groupBy(label).agg(F.count("*").alias("stratum"))
     test = F.col("position") <= F.ceil(F.col("stratum") * test_share)
-    return placed.join(bounded(sizes), label).withColumn("is_test", test).select(*df.columns, "is_test")
+    sizes = bounded(sizes.withColumnRenamed(label, "_label"))
+    return placed.join(sizes, F.col(label).eqNullSafe(F.col("_label"))).withColumn("is_test", test).select(*df.columns, "is_test")
 
 
 def auc(df: DataFrame, score: str, label: str, group: Sequence[str] = ()) -> DataFrame:

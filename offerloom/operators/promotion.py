@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 def best_run(runs: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """The run with the highest AUC of each experiment; a missing AUC comes last."""
-    w = Window.partitionBy(*group).orderBy(F.col("auc").desc_nulls_last(), "run_id")
-    return runs.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+    first = F.struct(F.col("auc").isNull(), -F.col("auc"), "run_id")
+    best = F.min_by(F.struct(*runs.columns), first)  # combines map-side; no group is one task
+    return runs.groupBy(*group).agg(best.alias("best")).filter("best is not null").select("best.*")
 
 
 def promotion_ledger(versions: DataFrame, model: str = "model") -> DataFrame:

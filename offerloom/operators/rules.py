@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from offerloom.functions.scalars import choose, clamp01
+from offerloom.functions.scalars import choose
 from offerloom.sources.controls import ACTIONS, Offer, active_rules, control_rows
 from offerloom.sources.fixtures import BEST_ML, LEVELS, NO_OFFER, NO_RULE
 
@@ -69,6 +70,8 @@ def compile_rules(rules: Sequence[Row]) -> Column:
 
     chain = None
     for r in rules:
+        if r.conditions is None:
+            raise ValueError(f"rule {r.name!r} has no list of conditions; a rule for everyone has an empty one")
         test = F.lit(True)
         for condition in json.loads(r.conditions or "[]"):
             test = test & compile_condition(condition)
@@ -124,10 +127,12 @@ def rule_violations(rules: DataFrame) -> DataFrame:
     """One row per rule and problem that would keep the rule from being used."""
     known = F.array(*[F.lit(f) for f in FIELDS])
     empty = F.trim(F.coalesce("conditions", F.lit(""))) == ""
-    listed = F.col("conditions").rlike(r"^\s*\[.*\]\s*$")
+    listed = F.col("conditions").rlike(r"(?s)^\s*\[.*\]\s*$")
     checks = {
         "conditions are not a JSON list": ~empty & (F.col("parsed").isNull() | ~listed),
         "unknown field": F.coalesce(F.exists("parsed", lambda c: ~F.array_contains(known, c["field"])), F.lit(False)),
+        "unknown operator": listed
+        & F.coalesce(F.exists("parsed", lambda c: ~F.coalesce(c["op"].isin(*OPERATORS), F.lit(False))), F.lit(False)),
         "unknown action": ~F.coalesce(F.col("action").isin(*ACTIONS), F.lit(False)),
         "level out of range": ~F.coalesce(F.col("action_level").between(min(LEVELS), max(LEVELS)), F.lit(False)),
         "priority is missing": F.col("priority").isNull(),
@@ -139,16 +144,21 @@ def rule_violations(rules: DataFrame) -> DataFrame:
 def shift_thresholds(rules: DataFrame, delta: float) -> DataFrame:
     """Rules with every score threshold moved by `delta`, kept in 0..1 and 3 decimals.
 
-    Conditions keep their JSON form: text values stay quoted, numbers stay bare.
+    Conditions stay JSON values: null, text, quotes and unknown keys are what they
+    were. A list that cannot be read stays as it is, for `rule_violations` to report.
     """
 
-    def moved(c: Column) -> Column:
-        number = c["value"].try_cast("double")
-        value = F.when(c["field"] == "score", clamp01(number + F.lit(float(delta))).cast("string")).otherwise(c["value"])
-        quoted = F.when(number.isNull(), F.concat(F.lit('"'), value, F.lit('"'))).otherwise(value)
-        return F.concat(
-            F.lit('{"field":"'), c["field"], F.lit('","op":"'), c["op"], F.lit('","value":'), quoted, F.lit("}")
-        )
-
-    joined = F.concat(F.lit("["), F.array_join(F.transform("parsed", moved), ","), F.lit("]"))
-    return parsed_conditions(rules).withColumn("conditions", joined).drop("parsed")
+    def moved(text: str | None) -> str | None:
+        try:
+            conditions = json.loads(text or "")
+        except ValueError:
+            return text
+        for c in conditions if isinstance(conditions, list) else []:
+            if isinstance(c, dict) and c.get("field") == "score" and type(c.get("value")) in (int, float):
+                shifted = min(max(Decimal(repr(c["value"])) + Decimal(repr(delta)), Decimal(0)), Decimal(1))
+                c["value"] = float(shifted.quantize(Decimal("0.001"), ROUND_HALF_UP))
+        return json.dumps(conditions, ensure_ascii=False)
+
+    rows = [(*r,) for r in control_rows(rules)]
+    at = rules.columns.index("conditions")
+    return rules.sparkSession.createDataFrame([(*r[:at], moved(r[at]), *r[at + 1 :]) for r in rows], rules.schema)

@@ -37,16 +37,18 @@ def prefix_scan(
     """Add running aggregates `{output: (sum|max|min, column)}` to `df`.
 
     `block` must not decrease along `order` within a group, and `order` must be
-    unique within a block. `keep` names a boolean column: rows without it feed
+    unique within a block. Null is a group like any other. `keep` names a boolean column: rows without it feed
     the aggregates but are not returned. Both passes read `df`; stage it first
     unless it ends in a shuffle that Spark can reuse.
     """
-    keys = [*group, *block]
+    # one struct, as structs with null fields are equal: rows of a null group keep their totals
+    df_columns, keys = df.columns, ["_block"]
+    df = df.withColumn("_block", F.struct(*group, *block))
     upto = 0 if inclusive else -1
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, upto)
     before = (
-        Window.partitionBy(*[F.col(g) for g in group])
-        .orderBy(*[F.col(b) for b in block])
+        Window.partitionBy(*[F.col(f"_block.{g}") for g in group])
+        .orderBy(*[F.col(f"_block.{b}") for b in block])
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     totals = [_AGG[fn](col).alias(f"_t_{out}") for out, (fn, col) in running.items()]
@@ -68,7 +70,7 @@ def prefix_scan(
     else:
         rows = df.select("*", *within).join(offsets, keys)
     return rows.select(
-        *[F.col(c) for c in df.columns if c not in running],
+        *[F.col(c) for c in df_columns if c not in running],
         *[
             _combine(fn, F.col(f"_in_{out}"), F.col(f"_off_{out}")).alias(out)
             for out, (fn, _) in running.items()

@@ -60,11 +60,13 @@ def select_features(importance: DataFrame, correlations: DataFrame) -> DataFrame
     """Keep candidates from the most important down, unless weak or redundant.
 
     Each verdict depends on the ones before it, over one row per candidate; the
-    two inputs are aggregates of that size and are checked to be.
+    importances are of that size and checked to be. Of the pairs, only redundant
+    ones leave Spark.
     """
+    close = correlations.filter(F.abs("correlation") > REDUNDANT_ABOVE)
     ranked = sorted(control_rows(importance), key=lambda r: (-r["importance"], r["column"]))
     related = {
-        frozenset((r["first"], r["second"])): abs(r["correlation"] or 0.0) for r in control_rows(correlations)
+        frozenset((r["first"], r["second"])): abs(r["correlation"]) for r in close.collect()
     }
     kept: list[str] = []
     verdicts = []

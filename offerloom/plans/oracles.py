@@ -124,10 +124,11 @@ def _decide(source, threshold):
     """First matching rule per customer with score thresholds moved by `threshold`."""
     t = lambda x: repr(round(min(max(x + threshold, 0), 1), 3)) + "::double"
     return f"""select *, case
-        when segment = 'at_risk' and score_max >= {t(0.6)} then 'at risk, likely' when segment = 'at_risk' then 'at risk'
-        when segment = 'new' then 'new member' when segment = 'champion' and score_max >= {t(0.75)} then 'champion, likely'
-        when segment = 'champion' then 'champion' when segment = 'active' and score_max >= {t(0.7)} then 'active, likely'
-        else 'default' end as rule from {source}"""
+        when score_max < {t(0.35)} and segment = 'new' then 'cold start'
+        when segment = 'champion' and score_max > {t(0.8)} then 'top shelf'
+        when segment <> 'at_risk' and score_max between {t(0.65)} and {t(0.8)} then 'within reach'
+        when segment = 'at_risk' then 'win back' when segment = 'new' then 'first steps'
+        else 'everyone else' end as rule from {source}"""
 
 
 def _resolve(matched):
@@ -211,9 +212,9 @@ CTES: dict[str, str] = {
     "budgets": f"""select segment, priority, floor(budget * (select count(*) from customer) / 12000.0)::bigint as budget
         from ({_values(BUDGET_ROWS, 'segment, priority, budget')})""",
     "actions": _values(
-        [("at risk, likely", "best_ml", 3), ("at risk", "best_ml", 2), ("new member", "mission", 1),
-         ("champion, likely", "bonus", 1), ("champion", "no_offer", 1), ("active, likely", "best_ml", 2),
-         ("default", "discount", 1)],
+        [("cold start", "no_offer", 1), ("top shelf", "bonus", 2), ("within reach", "best_ml", 1),
+         ("win back", "best_ml", 3), ("first steps", "mission", 1),
+         ("everyone else", "discount", 1)],
         "rule, action, action_level",
     ),
     "snapshot_pts": f"""select customer_id, ts from redemptions where ts <= {NOW} union

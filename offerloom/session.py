@@ -18,6 +18,7 @@ def local_session(cpus: int | str = "*", memory: str = "8g", app: str = "offerlo
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.files.minPartitionNum", partitions)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .getOrCreate()
@@ -54,17 +55,6 @@ def bounded(df: DataFrame, rows: int = 10_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a scan that has fewer splits than there are cores.
-
-    A small file would otherwise send everything up to the first shuffle through
-    one or two tasks. A large table has splits enough and is left alone; filters
-    and column pruning pass through to the scan either way.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

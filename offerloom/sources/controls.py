@@ -29,17 +29,19 @@ CATALOG_ROWS = [
 ]
 BUDGET_ROWS = [("at_risk", 1, 300000), ("new", 2, 200000), ("active", 3, 200000), ("champion", 4, 60000)]
 BUDGET_CUSTOMERS = 12000
+# The programme's own rules: every operator, text and number fields, an inactive rule, two bounds on one field.
 RULE_ROWS = [
-    (1, 1, "at risk, likely", True,
-     '[{"field":"segment","op":"=","value":"at_risk"},{"field":"score","op":">=","value":0.6}]', BEST_ML, 3),
-    (2, 2, "at risk", True, '[{"field":"segment","op":"=","value":"at_risk"}]', BEST_ML, 2),
-    (3, 3, "new member", True, '[{"field":"segment","op":"=","value":"new"}]', "mission", 1),
-    (4, 4, "champion, likely", True,
-     '[{"field":"segment","op":"=","value":"champion"},{"field":"score","op":">=","value":0.75}]', "bonus", 1),
-    (5, 5, "champion", True, '[{"field":"segment","op":"=","value":"champion"}]', NO_OFFER, 1),
-    (6, 6, "active, likely", True,
-     '[{"field":"segment","op":"=","value":"active"},{"field":"score","op":">=","value":0.7}]', BEST_ML, 2),
-    (7, 7, "default", True, "[]", "discount", 1),
+    (11, 10, "cold start", True,
+     '[{"field":"score","op":"<","value":0.35},{"field":"segment","op":"=","value":"new"}]', NO_OFFER, 1),
+    (12, 20, "top shelf", True,
+     '[{"field":"segment","op":"=","value":"champion"},{"field":"score","op":">","value":0.8}]', "bonus", 2),
+    (13, 25, "paused trial", False, '[{"field":"score","op":">=","value":0.0}]', "cashback", 3),
+    (14, 30, "within reach", True,
+     '[{"field":"segment","op":"!=","value":"at_risk"},{"field":"score","op":">=","value":0.65},'
+     '{"field":"score","op":"<=","value":0.8}]', BEST_ML, 1),
+    (15, 40, "win back", True, '[{"field":"segment","op":"=","value":"at_risk"}]', BEST_ML, 3),
+    (16, 50, "first steps", True, '[{"field":"segment","op":"=","value":"new"}]', "mission", 1),
+    (17, 90, "everyone else", True, "[]", "discount", 1),
 ]
 ACTIONS = (BEST_ML, *OFFER_TYPES, NO_OFFER)
 

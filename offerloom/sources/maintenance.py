@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from offerloom.operators.pit import duplicate_keys
 from offerloom.operators.scan import prefix_scan, ranged
+from offerloom.session import staged
 
 # Fixed value: rows per insert statement of an export.
 EXPORT_BATCH = 2000
@@ -24,13 +25,14 @@ def save(df: DataFrame, path: str) -> int:
 def write_feature_table(df: DataFrame, path: str, keys: Sequence[str]) -> int:
     """Replace a keyed time-series table; refuse it if a key occurs twice.
 
-    The check reads the table just written, not the plan that produced it.
+    The rows are written beside the table and checked there, so readers never see
+    a refused table.
     """
-    n = save(df, path)
-    twice = duplicate_keys(df.sparkSession.read.parquet(path).select(*keys), keys).first()[0]
+    new = staged(df, "feature-table")
+    twice = duplicate_keys(new.select(*keys), keys).first()[0]
     if twice:
         raise ValueError(f"{twice} keys of {list(keys)} occur more than once")
-    return n
+    return save(new, path)
 
 
 def append_snapshot(df: DataFrame, path: str, ts: str = "scored_at") -> None:

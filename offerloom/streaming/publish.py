@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,13 +27,15 @@ def publish_stream(
 ) -> StreamingQuery:
     """Keep the newest row per key of a stream readable under `target`.
 
-    Each micro-batch writes its own newest rows to its own folder. A batch that
-    is run again overwrites that folder, so nothing is counted twice, and the work
+    Each micro-batch writes its own newest rows to a folder of its checkpoint and
+    number. A batch that is run again overwrites that folder, so nothing is counted
+    twice; batch 0 of a new checkpoint has another one, so nothing is lost. The work
     of a batch grows with the batch alone. Late rows lose to newer ones on read.
     """
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        newest(batch, key, order).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        newest(batch, key, order).write.mode("overwrite").parquet(f"{target}/run={run}/batch={batch_id}")
 
     return (
         source.writeStream.foreachBatch(write)

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from offerloom.llm.frames import map_arrow
 from offerloom.llm.words import ALNUM, slices, texts_of, window_hashes, word_hashes, words_of
 from offerloom.session import staged
 
@@ -55,7 +56,7 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
                 )
 
     source = items.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(cut, "item string, length int, words binary").distinct()
+    return map_arrow(source, cut, "item string, length int, words binary").distinct()
 
 
 class WindowSet:
@@ -148,7 +149,7 @@ def contamination(
         known = docs.sparkSession.sparkContext.broadcast(WindowSet(rows))
         if k:
             out = staged(out, "contamination")
-        out = out.mapInArrow(lambda batches, known=known: _annotate(batches, known.value), schema)
+        out = map_arrow(out, lambda batches, known=known: _annotate(batches, known.value), schema)
     return out
 
 
@@ -207,7 +208,7 @@ def remove_spans(found: DataFrame) -> DataFrame:
             yield pa.record_batch([*batch.columns, pa.array(out, pa.string())], [*batch.schema.names, "clean_text"])
 
     schema = T.StructType([*found.schema.fields, T.StructField("clean_text", T.StringType())])
-    return found.mapInArrow(cut, schema)
+    return map_arrow(found, cut, schema)
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
@@ -221,7 +222,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, m
                 hits = scan_texts(batch.column(batch.schema.get_field_index("text")), known.value)[3]
                 yield batch.filter(pa.array(hits == 0))
 
-        out = (staged(out, "clean") if k else out).mapInArrow(keep, docs.schema)
+        out = map_arrow(staged(out, "clean") if k else out, keep, docs.schema)
     return out
 
 

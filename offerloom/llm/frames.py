@@ -15,3 +15,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, all else as it is; null counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+
+
+def map_arrow(frame: DataFrame, work, schema) -> DataFrame:
+    """`mapInArrow` in batches of at most 2,000 rows and about 8 MB.
+
+    Texts are long; the default batch would hold tens of megabytes several times
+    over, in the JVM and in Python, for each task. No row is cut or left out.
+    """
+    conf = frame.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    return frame.mapInArrow(work, schema)

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerloom.llm.components import components
+from offerloom.llm.frames import map_arrow
 from offerloom.llm.words import NON_SPACE, distinct_sets, mix, shingles, slices, texts_of, words_of
 from offerloom.session import staged
 
@@ -103,7 +104,7 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
                 )
 
     schema = "doc_id bigint, n_shingles bigint, content binary, marks binary, prefixes array<bigint>"
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return map_arrow(docs.select("doc_id", F.col("text").cast("string").alias("text")), run, schema)
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
@@ -159,10 +160,9 @@ def candidates(classes: DataFrame, percent: int = PERCENT, neighbours: int = NEI
     rows = kept.join(classes.select("id", "n_shingles", "marks"), "id").select("prefix", turned, "id", "n_shingles")
     rows = staged(rows, "orders")
     sort = ["prefix", "signature", "id"]
-    found = (
-        rows.repartitionByRange(*sort)
-        .sortWithinPartitions(*sort)
-        .mapInArrow(lambda batches: _neighbour_pairs(batches, percent, neighbours), "a bigint, b bigint, share float")
+    laid = rows.repartitionByRange(*sort).sortWithinPartitions(*sort)
+    found = map_arrow(
+        laid, lambda batches: _neighbour_pairs(batches, percent, neighbours), "a bigint, b bigint, share float"
     )
     return found.groupBy("a", "b").agg(F.max("share").alias("share"))
 
@@ -192,7 +192,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int = PERC
         .join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
         .join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     )
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
+    return map_arrow(both.select("a", "b", "text_a", "text_b"), run, "a bigint, b bigint")
 
 
 def links(pairs: DataFrame, texts: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:

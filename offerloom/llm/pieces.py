@@ -26,10 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from offerloom.llm.frames import map_arrow
 from offerloom.llm.words import slices, texts_of
 
 MARK = "▁"
-REMEMBERED = 300_000  # units in each of the two generations a task keeps
+REMEMBERED = 200_000  # units in each of the two generations a task keeps
 LONGEST = 48  # longer units are not remembered, and worked off one by one
 _NEVER = np.int32(2**31 - 1)
 
@@ -344,7 +345,7 @@ def encode(docs: DataFrame, model_file: str, check: bool = True) -> DataFrame:
         pieces = _pieces(model.value)
         for batch in batches:
             _, offsets = texts_of(batch.column(1))
-            for a, b in slices(offsets, 1 << 22):
+            for a, b in slices(offsets, 1 << 22, 1 << 14):
                 texts = [t or "" for t in batch.column(1).slice(a, b - a).to_pylist()]
                 coded = pieces.encode(texts, check)
                 ids = np.frombuffer(b"".join(coded), np.int32)
@@ -366,7 +367,7 @@ def encode(docs: DataFrame, model_file: str, check: bool = True) -> DataFrame:
             T.StructField("decoded", T.StringType()),
         ]
     )
-    return source.mapInArrow(run, schema)
+    return map_arrow(source, run, schema)
 
 
 def report(coded: DataFrame) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from offerloom.llm.frames import map_arrow
 from offerloom.llm.words import NON_SPACE, slices, texts_of, word_hashes, words_of
 from offerloom.session import staged
 
@@ -153,7 +154,7 @@ def _map_texts(docs: DataFrame, schema: str, work) -> DataFrame:
     source = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     whole = T.StructType([source.schema["doc_id"], *T.StructType.fromDDL(schema).fields])
     names = whole.names
-    return source.mapInArrow(run, whole)
+    return map_arrow(source, run, whole)
 
 
 def votes(docs: DataFrame) -> DataFrame:
@@ -294,4 +295,4 @@ def keep_good(docs: DataFrame, max_train: int = MAX_TRAIN, keep_from: float = 0.
             ]
             yield batch.filter(pa.array(np.concatenate([np.zeros(0), *parts]) >= keep_from))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return map_arrow(docs, keep, docs.schema)

@@ -67,11 +67,12 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(offsets: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of rows that hold about `size` bytes; one row at least."""
+def slices(offsets: np.ndarray, size: int = CHUNK_BYTES, most: int = 1024) -> Iterator[tuple[int, int]]:
+    """Ranges of at most `most` rows that hold about `size` bytes; one row at least."""
     first, rows = 0, len(offsets) - 1
     while first < rows:
         last = max(int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1, first + 1)
+        last = min(last, first + most)
         yield first, min(last, rows)
         first = min(last, rows)
 

@@ -4,10 +4,11 @@ A text is lower-cased, its copyright lines go, equivalent spellings become one,
 punctuation and white space shrink to single spaces; what remains is hashed and
 joined to the digests of known licences. An entire document is looked up, and so
 is each of its lines, since a notice such as "Released under the MIT License."
-is an entire text of one line. Equality is confirmed on the canonical text.
+is an entire text of one line. Digests are SHA-256, so equal ones are equal texts.
 
-Only matches move after the join with the registry (broadcast if Spark finds it
-small, else shuffled), and a document has no more of them than known licences.
+The registry is a written table, so Spark knows its size before it plans: it is
+broadcast if small, and else only ids and digests are shuffled. Of a document only
+its matches move on, which are no more than the known licences.
 
 Defined results: null and empty texts, and texts that are copyright lines only,
 match nothing; a document may hold several licences and lists each once, sorted;
@@ -20,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from offerloom.session import staged
+
 # Public licence notices and short licence texts by SPDX identifier.
 KNOWN = (
     ("MIT", "Released under the MIT License."),
@@ -89,10 +92,10 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
             lambda line: F.struct(line.alias("canon"), F.lit(False).alias("entire")),
         ),
     )
-    exploded = lines.select("doc_id", F.inline(units)).filter("canon <> ''").withColumn("digest", digest(F.col("canon")))
+    exploded = lines.select("doc_id", F.inline(units)).filter("canon <> ''")
+    exploded = exploded.select("doc_id", "entire", digest(F.col("canon")).alias("digest"))  # no text moves
     found = (
-        exploded.join(known.withColumnRenamed("canon", "_canon"), "digest")
-        .filter(F.col("canon") == F.col("_canon"))
+        exploded.join(staged(known.select("digest", "licence"), "licences"), "digest")
         .groupBy("doc_id")
         .agg(
             F.array_sort(F.collect_set("licence")).alias("licences"),

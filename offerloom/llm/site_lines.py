@@ -46,10 +46,9 @@ def lines_of(html: Column) -> Column:
 def boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
     """(host, lines): each host's lines over the ratio, from a frame (host, lines) of pages."""
     totals = staged(pages.groupBy("host").agg(F.count("*").alias("pages")).filter(F.col("pages") >= least_pages), "hosts")
-    counts = pages.select("host", F.explode(F.array_distinct("lines")).alias("line")).groupBy("host", "line").count()
-    # a line on one page of a host with `least_pages` pages may still be over the ratio
-    counts = staged(counts, "line-counts")
-    over = counts.join(totals, "host").filter(F.col("count") > ratio * F.col("pages"))
+    # pages learn their host's size before they are cut into lines, so the counts need no join of their own
+    sized = pages.join(totals, "host").select("host", "pages", F.explode(F.array_distinct("lines")).alias("line"))
+    over = sized.groupBy("host", "pages", "line").count().filter(F.col("count") > ratio * F.col("pages"))
     return staged(over.groupBy("host").agg(F.sort_array(F.collect_list("line")).alias("common")), "boilerplate")
 
 

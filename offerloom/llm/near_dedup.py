@@ -12,6 +12,11 @@ all of those, where many do they are the ones with the longest common prefix, so
 depth adapts to the region. A pair with similarity 0.8 and no others around is missed
 by all orders with probability 3e-6. A range's end hides a few pairs of one order.
 
+Crowds: classes that share their first values with more others than `NEIGHBOURS` have
+pairs that no order puts side by side. These are found without any cap: sets as alike
+as the threshold share one of their rarest shingles, so the rare shingles of crowded
+classes are joined, between classes that no link connects so far.
+
 Links: a pair goes on if its sizes allow the threshold and its share of equal
 min-hashes is at most five standard deviations below it. Then the full sets are
 compared, in two rounds: each class's most promising pair first, and after that
@@ -41,6 +46,7 @@ ORDERS, DEPTH = 24, 4
 VALUES = ORDERS * DEPTH
 NEIGHBOURS = 6
 PERCENT = 80
+BINS = 1 << 20  # of the table that says which shingles are rare; fewer only make it blunter
 _RNG = np.random.Generator(np.random.PCG64(77))
 _FLIP = _RNG.integers(0, 2**32, VALUES, dtype=np.uint32)
 _SPREAD = _RNG.integers(0, 2**32, VALUES, dtype=np.uint32) | np.uint32(1)
@@ -145,15 +151,30 @@ def _neighbour_pairs(batches: Iterator[pa.RecordBatch], percent: int, neighbours
         carry = table.slice(max(0, n - neighbours))
 
 
-def candidates(classes: DataFrame, percent: int = PERCENT, neighbours: int = NEIGHBOURS) -> DataFrame:
+def _keys(classes: DataFrame) -> DataFrame:
+    return classes.select("id", F.posexplode("prefixes").alias("order", "prefix"))
+
+
+def shared_prefixes(classes: DataFrame) -> DataFrame:
+    """(prefix, count): the beginnings that several classes have."""
+    return staged(_keys(classes).groupBy("prefix").count().filter("count > 1"), "prefixes")
+
+
+def crowded(classes: DataFrame, shared: DataFrame, neighbours: int = NEIGHBOURS) -> DataFrame:
+    """(id): the classes with more partners in some order than are compared there."""
+    full = shared.filter(F.col("count") > neighbours + 1).select("prefix")
+    return _keys(classes).join(full, "prefix", "left_semi").select("id").distinct()
+
+
+def candidates(
+    classes: DataFrame, shared: DataFrame, percent: int = PERCENT, neighbours: int = NEIGHBOURS
+) -> DataFrame:
     """(a, b, share): distinct pairs of neighbours in the orders of the forest, a < b.
 
     `classes` is a written table (id, n_shingles, marks, prefixes) of distinct sets.
     """
-    keys = classes.select("id", F.posexplode("prefixes").alias("order", "prefix"))
-    shared = staged(keys.groupBy("prefix").count().filter("count > 1").select("prefix"), "prefixes")
     # ids that are alone in an order go before anything wide moves
-    kept = keys.join(shared, "prefix", "left_semi")
+    kept = _keys(classes).join(shared, "prefix", "left_semi")
     turned = F.concat(
         F.expr(f"substring(marks, order * {DEPTH} + 1)"), F.expr(f"substring(marks, 1, order * {DEPTH})")
     ).alias("signature")
@@ -167,6 +188,67 @@ def candidates(classes: DataFrame, percent: int = PERCENT, neighbours: int = NEI
     return found.groupBy("a", "b").agg(F.max("share").alias("share"))
 
 
+def rarity(texts: DataFrame, size: int) -> np.ndarray:
+    """How many sets of (id, text) have a shingle of each of `BINS` bins."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BINS, np.int64)
+        for batch in batches:
+            for _, _, hashes, _ in text_sets(batch.column(1), size):
+                total += np.bincount((hashes % np.uint64(BINS)).astype(np.int64), minlength=BINS)
+        some = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array(total[some])], ["bin", "n"])
+
+    counted = map_arrow(texts.select("id", "text"), run, "bin int, n bigint").groupBy("bin").agg(F.sum("n").alias("n"))
+    table = counted.toArrow()  # at most BINS rows
+    out = np.zeros(BINS, np.int64)
+    out[table["bin"].to_numpy()] = table["n"].to_numpy()
+    return out
+
+
+def rare_shingles(texts: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
+    """(shingle, id, n, place): the rarest shingles of each set, counted from 0.
+
+    As many as it takes for two sets that reach the threshold to have one in common.
+    """
+    often = texts.sparkSession.sparkContext.broadcast(rarity(texts, size))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, hashes, first in text_sets(batch.column(1), size):
+                n = np.diff(first)
+                owner = np.repeat(np.arange(b - a), n)
+                line = np.lexsort((hashes, often.value[(hashes % np.uint64(BINS)).astype(np.int64)], owner))
+                place = np.arange(len(hashes)) - np.repeat(first[:-1], n)
+                kept = place <= np.repeat(n - (percent * n + 99) // 100, n)
+                owner = owner[kept]
+                ids = batch.column(0).slice(a, b - a).to_numpy()
+                columns = [hashes[line][kept].view(np.int64), ids[owner], n[owner].astype(np.int32), place[kept].astype(np.int32)]
+                yield pa.record_batch([pa.array(c) for c in columns], ["shingle", "id", "n", "place"])
+
+    return map_arrow(texts.select("id", "text"), run, "shingle bigint, id bigint, n int, place int")
+
+
+def passed_over(texts: DataFrame, roots: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
+    """(a, b, share): all pairs of (id, text) that may reach the threshold and that `roots` does not connect.
+
+    The first rare shingle that a pair has in common leaves room for enough others;
+    `share` is the number of those that do.
+    """
+    rare = staged(rare_shingles(texts, size, percent), "rare-shingles")
+    several = rare.groupBy("shingle").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
+    rows = rare.join(several.select("shingle"), "shingle", "left_semi").join(roots, "id", "left")
+    rows = staged(rows.withColumn("component", F.coalesce("component", "id")), "rare-shared")
+    left, right = (
+        rows.select("shingle", F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "place", "component")])
+        for s in "ab"
+    )
+    room = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    fits = (100 + percent) * room >= percent * (F.col("n_a") + F.col("n_b"))
+    found = left.join(right, "shingle").filter((F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b")) & fits)
+    return found.groupBy("a", "b").agg(F.count("*").cast("float").alias("share"))
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold; `texts` is a written table (id, text)."""
 
@@ -195,13 +277,17 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int = PERC
     return map_arrow(both.select("a", "b", "text_a", "text_b"), run, "a bigint, b bigint")
 
 
-def links(pairs: DataFrame, texts: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
-    """Confirmed pairs that join what the confirmed ones of `pairs` (a, b, share) all join."""
+def links(
+    pairs: DataFrame, texts: DataFrame, size: int, percent: int = PERCENT, known: DataFrame | None = None
+) -> DataFrame:
+    """Links (a, b) that join what the confirmed ones of `pairs` (a, b, share) and the `known` ones all join."""
     ends = pairs.select("a", "b", "share").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "share"))
     best = ends.groupBy("a").agg(F.max(F.struct("share", (-F.col("b")).alias("b"))).alias("best"))
     other = -F.col("best.b")
     first = staged(best.select(F.least("a", other).alias("a"), F.greatest("a", other).alias("b")).distinct(), "first-pairs")
     sure = staged(confirmed(first, texts, size, percent), "links")
+    if known is not None:
+        sure = sure.unionByName(known)
     joined = staged(components(sure), "joined")
     apart = pairs.join(first, ["a", "b"], "left_anti")
     for side in ("a", "b"):
@@ -218,11 +304,19 @@ def near_classes(docs: DataFrame, size: int, percent: int = PERCENT, neighbours:
     by_set = staged(linkable.groupBy("content").agg(F.min("doc_id").alias("doc_id")), "sets")
     firsts = linkable.join(by_set, ["content", "doc_id"], "left_semi").dropDuplicates(["content", "doc_id"])
     classes = staged(firsts.select(F.col("doc_id").alias("id"), "n_shingles", "marks", "prefixes"), "classes")
-    pairs = staged(candidates(classes, percent, neighbours), "candidates")
-    involved = staged(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "involved")
+    shared = shared_prefixes(classes)
+    pairs = staged(candidates(classes, shared, percent, neighbours), "candidates")
+    paired = pairs.select(F.explode(F.array("a", "b")).alias("id"), F.lit(False).alias("crowded"))
+    crowd = crowded(classes, shared, neighbours).withColumn("crowded", F.lit(True))
+    involved = staged(paired.unionByName(crowd).groupBy("id").agg(F.max("crowded").alias("crowded")), "involved")
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
-    texts = staged(texts.join(involved, "id", "left_semi"), "texts")
+    texts = staged(texts.join(involved, "id"), "texts")
     roots = staged(components(links(pairs, texts, size, percent)), "components")
+    crowd = texts.filter("crowded")
+    if not crowd.isEmpty():
+        missed = staged(passed_over(crowd, roots, size, percent), "passed-over")
+        held = roots.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        roots = staged(components(links(missed, texts, size, percent, held)), "components")
     groups = by_set.join(roots.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     groups = staged(groups.select("content", F.coalesce("component", "doc_id").alias("component_id")), "groups")
     own = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))

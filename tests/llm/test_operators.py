@@ -153,7 +153,7 @@ def test_near_is_brute_force(docs, plain, size):
 
 
 def test_near_copies_of_one_text(spark):
-    """The hardest case for a forest: hundreds of variants, many of them just at the threshold."""
+    """The hardest case for a forest: hundreds of variants, many of them just at the threshold; none is missed."""
     rng = random.Random(9)
     base = [f"w{rng.randrange(5000)}" for _ in range(150)]
     rows = []
@@ -164,8 +164,7 @@ def test_near_copies_of_one_text(spark):
         rows.append((k, " ".join(words)))
     frame = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_classes(frame, 4).collect()}
-    want = brute.near_components(rows, 4)
-    assert sum(got[d] == want[d] for d in want) >= 0.95 * len(want)
+    assert got == brute.near_components(rows, 4)
 
 
 def test_near_edges(hard, none):

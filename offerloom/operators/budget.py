@@ -29,9 +29,10 @@ def apply_budget(decisions: DataFrame, budgets: DataFrame, scenario: Sequence[st
     """Final offer per customer.
 
     The running cost counts rows that no longer fit, so once a segment is over
-    budget every later costly row is refused. A segment without budget has 0.
+    budget every later costly row is refused. A segment without budget has 0; the
+    lines of a segment listed several times add up.
     """
-    limits = budgets.select(*scenario, "segment", "budget")
+    limits = budgets.groupBy(*scenario, "segment").agg(F.sum("budget").alias("budget"))
     fits = (F.col("offer_type") != NO_OFFER) & (F.col("running_cost") <= F.coalesce("budget", F.lit(0)))
     return (
         running_cost(decisions, scenario)

@@ -47,10 +47,11 @@ def _sizes(grouped: GroupedData, keys: Sequence[str], columns: Sequence[str], na
 def drift_ks(snapshot: DataFrame, baseline: DataFrame, columns: Sequence[str], slice_by: str, ts: str) -> DataFrame:
     """Largest gap between a day's distribution and the baseline's, per column and slice.
 
-    Values are counted first; the scan then runs over distinct values. Each day
-    needs the whole baseline, whose counts are repeated once per day seen. The
-    table of sizes has a row per day, slice and column; it is joined as a small
-    side, since those keys have few values.
+    Values are counted first. The largest gap lies at a value of the day or just
+    before one, so only the baseline's counts up to and below the values seen are
+    needed: one scan of the baseline's values serves all days, and the work is
+    linear in both. The table of sizes has a row per day, slice and column; it is
+    joined as a small side, since those keys have few values.
     """
     by = [slice_by, "column"]
     group = ["window_start", *by]
@@ -68,19 +69,23 @@ def drift_ks(snapshot: DataFrame, baseline: DataFrame, columns: Sequence[str], s
         .groupBy(*by, "value")
         .agg(F.count("*").alias("there"))
     )
-    both = (
-        now.withColumn("there", zero)
-        .unionByName(old.join(sizes.select(*group), by).withColumn("here", zero))
-        .groupBy(*group, "value")
-        .agg(F.sum("here").alias("here"), F.sum("there").alias("there"))
+    asked = now.select(*by, "value", zero.alias("there"), F.lit(True).alias("asked"))
+    line = (
+        old.withColumn("asked", F.lit(False))
+        .unionByName(asked)
+        .groupBy(*by, "value")
+        .agg(F.sum("there").alias("there"), F.max("asked").alias("asked"))
         .withColumn("value_block", value_block(F.col("value")))
     )
-    steps = prefix_scan(
-        both, group, ["value_block"], ["value"], {"cum_here": ("sum", "here"), "cum_there": ("sum", "there")}
-    )
-    gap = F.abs(F.col("cum_here") / F.col("n_here") - F.col("cum_there") / F.col("n_there"))
+    base = prefix_scan(line, by, ["value_block"], ["value"], {"cum_there": ("sum", "there")}, keep="asked")
+    seen = now.withColumn("value_block", value_block(F.col("value")))
+    steps = prefix_scan(seen, group, ["value_block"], ["value"], {"cum_here": ("sum", "here")})
+    both = steps.drop("value_block").join(base.select(*by, "value", "there", "cum_there"), [*by, "value"])
+    here, there = F.col("cum_here"), F.col("cum_there")
+    gap = lambda h, t: F.abs(h / F.col("n_here") - t / F.col("n_there"))
+    largest = F.greatest(gap(here, there), gap(here - F.col("here"), there - F.col("there")))
     return (
-        steps.join(sizes, group)
+        both.join(sizes, group)
         .groupBy(*group)
-        .agg(F.round(F.max(gap), 6).alias("ks"), F.max("n_here").alias("n"), F.max("n_there").alias("n_baseline"))
+        .agg(F.round(F.max(largest), 6).alias("ks"), F.max("n_here").alias("n"), F.max("n_there").alias("n_baseline"))
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from offerloom.functions.scalars import safe_ratio
 from offerloom.functions.timing import asof, days_since, expiring, within
 from offerloom.operators.timeline import (
+    BLOCK_HOURS,
     KEY,
     TS,
     category_changes,
@@ -88,7 +89,11 @@ def snapshot_points(redemptions: DataFrame, offers: DataFrame, customer_ids: Dat
 
 
 def features_asof(
-    anchors: DataFrame, facts: DataFrame, at_redemptions: bool = False, until: Column | None = None
+    anchors: DataFrame,
+    facts: DataFrame,
+    at_redemptions: bool = False,
+    until: Column | None = None,
+    block_hours: int = BLOCK_HOURS,
 ) -> DataFrame:
     """The eight table features as of each anchor; a missing recency is 999.
 
@@ -105,7 +110,7 @@ def features_asof(
         changes = fact_changes(facts, specs)
     else:
         changes = fact_changes(facts.filter(F.col(TS) <= until), specs).filter(F.col(TS) <= until)
-    got = measures_at(anchors, [changes])
+    got = measures_at(anchors, [changes], block_hours)
     got = got.withColumns(
         {
             "days_since_redemption": recency("last_redemption"),
@@ -115,15 +120,16 @@ def features_asof(
     return fill_defaults(got, FEATURE_DEFAULTS)
 
 
-def candidate_measures(offers: DataFrame, facts: DataFrame) -> DataFrame:
+def candidate_measures(offers: DataFrame, facts: DataFrame, block_hours: int = BLOCK_HOURS) -> DataFrame:
     """All raw measures as of each offer, NULL where no event came before."""
     specs = {
         "redemption": redemption_spec(windows=(30, 60, 90), spend=True),
         "credit": credit_spec(windows=(15, 30, 60)),
         "mission": mission_spec(windows=(30,)),
     }
-    changes = [fact_changes(facts, specs), category_changes(facts.filter(F.col("kind") == "redemption"), 90)]
-    at = measures_at(offers.select(KEY, F.col("offer_ts").alias(TS)), changes)
+    redemptions = facts.filter(F.col("kind") == "redemption")
+    changes = [fact_changes(facts, specs), category_changes(redemptions, 90, block_hours)]
+    at = measures_at(offers.select(KEY, F.col("offer_ts").alias(TS)), changes, block_hours)
     return offers.join(at.withColumnRenamed(TS, "offer_ts"), [KEY, "offer_ts"], "left")
 
 

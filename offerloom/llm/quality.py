@@ -9,7 +9,7 @@ train a linear scorer over hashed word features, on a sample of at most `max_tra
 documents (those with the smallest hashed ids). The scorer judges every document.
 
 Defined results: a text without words (null too) gets score 0 and is not kept;
-repeated rows get the same score; short texts lean towards the corpus; an empty
+repeated rows get the same score, and rows that repeat an id are one of the sample; short texts lean towards the corpus; an empty
 table gives an empty result, and a corpus without any junk or good label keeps
 what its posterior says; only doc_id and text are read.
 """
@@ -251,16 +251,19 @@ def fit(docs: DataFrame, voted: DataFrame, max_train: int = MAX_TRAIN) -> tuple[
     """The scorer, the posterior of each pattern, and the labellers' behaviour."""
     counts = {r["votes"]: r["count"] for r in voted.groupBy("votes").count().collect()}
     posterior, behaviour = estimate(counts)
+    # hashes are even, so those up to here hold the sample and the sort sees a bounded number of ids
+    share = min(1.0, (2 * max_train + 1_000) / max(1, sum(counts.values())))
+    hashed = F.xxhash64("doc_id")
     sample = (
-        voted.filter("doc_id is not null")
-        .select("doc_id", "votes", F.xxhash64("doc_id").alias("h"))
-        .orderBy("h", "doc_id", "votes")
+        voted.filter(F.col("doc_id").isNotNull() & (hashed <= min(2**63 - 1, int((share - 0.5) * 2**64))))
+        .groupBy("doc_id")
+        .agg(F.min("votes").alias("votes"))
+        .orderBy(hashed, "doc_id")
         .limit(max_train)
-        .dropDuplicates(["doc_id"])
     )
-    chosen = F.broadcast(sample.select("doc_id", "votes"))  # at most max_train rows
+    chosen = F.broadcast(sample)  # at most max_train rows
     rows = _map_texts(docs.join(chosen, "doc_id", "left_semi"), "x binary", _rows_of_features)
-    rows = rows.join(chosen, "doc_id").select("doc_id", "votes", "x").orderBy("doc_id", "x").limit(max_train).collect()
+    rows = rows.groupBy("doc_id").agg(F.min("x").alias("x")).join(chosen, "doc_id").orderBy("doc_id").collect()
     features = np.frombuffer(b"".join(bytes(r["x"]) for r in rows), np.float32).reshape(-1, BUCKETS)
     target = np.array([posterior[r["votes"]] for r in rows], np.float32)
     return train(features, target), posterior, behaviour

@@ -266,6 +266,19 @@ def test_estimate_finds_the_labellers():
     assert all(abs(b["right_on_good"] - p) < 0.05 for b, p in zip(behaviour, right))
 
 
+def test_a_bounded_sample_with_a_repeated_id(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    hot = docs.filter("doc_id = 3").withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("copy")
+    judged = quality.classify(docs.unionByName(hot), max_train=300).groupBy("doc_id").agg(
+        F.count("*").alias("n"), F.countDistinct("score").alias("scores"), F.max("kept").alias("kept")
+    )
+    rows = {r["doc_id"]: r for r in judged.collect()}
+    assert len(rows) == docs.count() and rows[3]["n"] == 501
+    assert all(r["scores"] == 1 for r in rows.values())
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()
+    assert sum(rows[r["doc_id"]]["kept"] == (r["quality"] == 1) for r in labels) / len(labels) > 0.9
+
+
 def test_quality_edges(hard, none):
     rows = {r["doc_id"]: r for r in quality.classify(hard).collect()}
     assert rows[0]["score"] == 0.0 and not rows[0]["kept"]

@@ -238,6 +238,26 @@ def test_repeated_passages(spark, hard, none):
     passages.repeats(hard).count()
 
 
+def test_a_passage_cut_between_many_ranges_keeps_one_head(spark):
+    rng = random.Random(8)
+    shared = [f"s{rng.randrange(10**6)}" for _ in range(60)]
+    rows = []
+    for k in range(300):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+        rows.append((k, " ".join(own + shared if k % 3 == 0 else own)))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    settings = {"spark.sql.shuffle.partitions": "150", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = passages.repeats(frame).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {(r["doc_id"], r["other_id"]) for r in found} == {(k, 0) for k in range(3, 300, 3)}
+
+
 # quality
 
 

@@ -258,6 +258,25 @@ def test_a_passage_cut_between_many_ranges_keeps_one_head(spark):
     assert {(r["doc_id"], r["other_id"]) for r in found} == {(k, 0) for k in range(3, 300, 3)}
 
 
+def test_exact_passages_with_hot_phrases_meet_behind_a_failed_head(spark):
+    rng = random.Random(9)
+
+    def prose(n):
+        return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+    hot = [prose(19) for _ in range(40)]
+    rows = [(k, prose(30) + hot[k] + prose(30)) for k in range(40)]
+    pairs = set()
+    for k in range(0, 40, 2):
+        shared = prose(3) + hot[k] + prose(6) + hot[k + 1] + prose(3)
+        pairs.add((100 + k, 101 + k))
+        rows += [(100 + k, prose(70) + shared + prose(70)), (101 + k, shared + prose(20))]
+    frame = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id bigint, text string")
+    found = passages.repeats(frame).collect()
+    assert {(r["other_id"], r["doc_id"]) for r in found} == pairs
+    assert all(r["last_word"] - r["first_word"] == 49 and r["similarity"] == 1.0 for r in found)
+
+
 # quality
 
 

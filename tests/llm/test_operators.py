@@ -340,6 +340,15 @@ def test_licence_spellings(spark, hard):
     assert licences.scan(hard, licences.known_licences(spark)).count() == hard.count()
 
 
+def test_entire_wrapped_licences(spark):
+    mine = "Copyright (c) 2020 Somebody"
+    rows = [(n, f"{(*titles, '')[0]}\n\n{mine}\n\n{text}\n") for n, titles, text in licences.TEXTS]
+    rows += [(n, f"{mine}\n{' '.join(text.split())}") for n, _, text in licences.TEXTS]
+    docs = spark.createDataFrame([(k, text) for k, (_, text) in enumerate(rows)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["whole"] for r in licences.scan(docs, licences.known_licences(spark)).collect()}
+    assert got == {k: n for k, (n, _) in enumerate(rows)}
+
+
 # quotes
 
 

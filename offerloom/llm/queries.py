@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from offerloom.llm import decontamination, exact_dedup, licences, near_dedup, passages, pieces, quality, quotes, site_lines, urls
+from offerloom.llm import (
+    decontamination,
+    exact_dedup,
+    licences,
+    near_dedup,
+    passages,
+    pieces,
+    quality,
+    quotes,
+    site_lines,
+    urls,
+    word_bpe,
+)
 from offerloom.llm.frames import table
 
 
@@ -17,6 +29,13 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def word_vocabulary() -> str:
+    """The word vocabulary's file; its place is a parameter of `word_bpe.encode`."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return passages.report(passages.repeats(table(spark, folder, "documents")))
 
@@ -59,5 +78,9 @@ def op10_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     return licences.report(licences.scan(table(spark, folder, "documents"), known))
 
 
+def op11_word_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return word_bpe.report(word_bpe.encode(table(spark, folder, "documents"), word_vocabulary()))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}

@@ -169,6 +169,58 @@ left join bad on p.key = bad.key
 """
 
 
+COLLOCATIONS = r"""
+with t as (select row_number() over () as k, coalesce(lang, 'und') as lang, {text} as text from documents),
+p as (select lang, unnest(regexp_split_to_array(text, '[.,;:!?\n\x0B\x0C\r]')) as piece from t),
+w as (select lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') as ws from p),
+g as (
+  select lang, 1 as size, unnest(ws) as phrase from w
+  union all select lang, 2, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) from w
+  union all
+  select lang, 3, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) from w),
+f as (select lang, size, phrase, count(*) as f from g group by all),
+n as (select lang, sum(f)::bigint as n from f where size = 1 group by lang),
+c as (select lang, size, phrase, f as a, string_split(phrase, ' ') as ws from f where size > 1 and f >= 10),
+cuts as (
+  select c.*, k, array_to_string(ws[1:k], ' ') as head, array_to_string(ws[k + 1:], ' ') as tail
+  from c, (values (1), (2)) v(k) where k < size),
+scored as (
+  select cuts.*, h.f as l, s.f as r, (1000000::hugeint * a * a // (h.f::hugeint * s.f))::bigint as score
+  from cuts join f h on h.lang = cuts.lang and h.phrase = head join f s on s.lang = cuts.lang and s.phrase = tail),
+lowest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+inside as (
+  select distinct b.lang, b.phrase from c b join c t
+    on t.size = 3 and b.size = 2 and t.lang = b.lang and 100 * t.a >= 50 * b.a
+    and (b.phrase = array_to_string(t.ws[1:2], ' ') or b.phrase = array_to_string(t.ws[2:3], ' '))),
+ranked as (
+  select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, score
+  from lowest anti join inside using (lang, phrase))
+select lang, rank, phrase, a, l, r, n, score from ranked join n using (lang) where rank <= 2000
+""".replace("{text}", _lower("text"))
+
+
+HARD_NEGATIVES = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.vec_id as anchor_id, b.vec_id as other, a.label = b.label as same, list_dot_product(a.v, b.v)::bigint as score
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+p as (
+  select anchor_id, other as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, other) <= 5)
+select p.anchor_id, positive_id,
+  row_number() over (partition by p.anchor_id, positive_id order by score desc, other)::int as rank,
+  other as negative_id, positive_score, score as negative_score
+from p join s on s.anchor_id = p.anchor_id and not same
+  and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+qualify rank <= 5
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op2_quotation_linking": quotation_sql(),
@@ -176,4 +228,6 @@ def statements() -> dict[str, str]:
         "op8_url_filters": url_sql(),
         "op9_exact_dedup": EXACT,
         "op10_license_scans": licence_sql(),
+        "op12_phrase_collocations": COLLOCATIONS,
+        "op13_hard_negatives": HARD_NEGATIVES,
     }

@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from offerloom.llm import (
     decontamination,
     exact_dedup,
+    hard_negatives,
     licences,
     near_dedup,
     passages,
+    phrases,
     pieces,
     quality,
     quotes,
@@ -82,5 +85,16 @@ def op11_word_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return word_bpe.report(word_bpe.encode(table(spark, folder, "documents"), word_vocabulary()))
 
 
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    # the labels that the query asks for: those of every seventh id are moved on by one
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved), anchors=F.col("vec_id") % 100 == 0)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}

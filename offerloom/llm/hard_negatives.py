@@ -173,7 +173,8 @@ class Bucket:
         if self.largest * np.abs(vector).max(initial=0.0) * max(1, width) < EXACT:
             return own @ vector
         numbers = [int(x) for x in vector]
-        return np.array([sum(int(a) * b for a, b in zip(row, numbers)) for row in own], object)
+        exact = (sum(int(a) * b for a, b in zip(row, numbers)) for row in own)
+        return np.array([min(LIMIT, max(-LIMIT, x)) for x in exact], object)
 
 
 def _first(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -209,7 +210,7 @@ def _search(bucket: Bucket, anchors: list, k: int, focus: int) -> Iterator[tuple
                 at &= scores <= high
             at = np.flatnonzero(at)
             for i in _first(scores[at], ids[at], k):
-                yield anchor["anchor"], tag, int(ids[at[i]]), min(LIMIT, max(-LIMIT, int(scores[at[i]])))
+                yield anchor["anchor"], tag, int(ids[at[i]]), int(scores[at[i]])
 
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[bytes]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from offerloom.llm import licences, quotes, site_lines, urls
+from offerloom.llm import licences, quotes, urls
 from offerloom.llm.frames import LOWER, UPPER
 
 
@@ -49,24 +49,18 @@ from t left join f using (doc_id)
 """
 
 
-def site_line_sql(ratio: float = site_lines.RATIO, least_pages: int = site_lines.LEAST_PAGES) -> str:
-    text = f"regexp_replace(coalesce(html, ''), {_text(site_lines.HIDDEN)}, chr(10), 'g')"
-    text = f"regexp_replace({text}, {_text(site_lines.BLOCK)}, chr(10), 'g')"
-    text = f"regexp_replace({text}, {_text(site_lines.ANY_TAG)}, '', 'g')"
-    for reference, char in site_lines.REFERENCES:
-        text = f"replace({text}, {_text(reference)}, {_text(char)})"
-    text = f"regexp_replace({text}, {_text(site_lines.BLANKS)}, ' ', 'g')"
-    return f"""
+# The patterns are written out here: the statement shares nothing with the code it is compared with.
+SITE_LINES = r"""
 with p as (
   select page_id, row_number() over () as k,
-    {_lower("regexp_extract(case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end, '^[^/?#]*')")} as host,
+    {host} as host,
     list_filter(list_transform(string_split({text}, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '') as ls
   from pages),
-totals as (select host, count(*) as n from p group by host having count(*) >= {least_pages}),
+totals as (select host, count(*) as n from p group by host),
 line as (select distinct k, host, unnest(ls) as line from p),
 over as (
   select host, line from line join totals using (host)
-  group by host, line, n having count(*) > {ratio} * n),
+  group by host, line, n having n >= 5 and count(*) >= 2 and count(*) > 0.1 * n),
 list as (select host, list(line) as common from over group by host),
 kept as (
   select page_id, p.host, ls, list_filter(ls, lambda x: not coalesce(list_contains(common, x), false)) as rest
@@ -77,6 +71,18 @@ from kept
 """
 
 
+def site_line_sql() -> str:
+    text = "regexp_replace(coalesce(html, ''), '(?is)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->', chr(10), 'g')"
+    block = "p|div|li|ul|ol|h1|h2|h3|h4|h5|h6|br|tr|td|th|table|article|aside|nav|footer|header|section|main|title|head|body|html"
+    text = f"regexp_replace({text}, '(?i)</?(?:{block})\\b[^>]*>', chr(10), 'g')"
+    text = f"regexp_replace({text}, '<[^>]*>', '', 'g')"
+    for reference, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "\'\'"), ("&nbsp;", " "), ("&amp;", "&")):
+        text = f"replace({text}, '{reference}', '{char}')"
+    text = f"regexp_replace({text}, '[ \\t\\r\\f]+', ' ', 'g')"
+    host = _lower("regexp_extract(case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end, '^[^/?#]*')")
+    return SITE_LINES.replace("{host}", host).replace("{text}", text)
+
+
 def quotation_sql() -> str:
     quote = _text(quotes.QUOTE)
     line = f"trim(regexp_replace(regexp_replace(l, {quote}, ''), {_text(quotes.BLANKS)}, ' ', 'g'), ' ')"

@@ -1,8 +1,8 @@
 """Line dedup by site-relative frequency.
 
 Pages are grouped by host. A line's ratio is the number of the host's pages that
-contain it, divided by the number of the host's pages, and lines over `ratio` are
-boilerplate. A host has at most (its mean number of lines per page) / ratio of them,
+contain it, divided by the number of the host's pages. Lines over `ratio` that at least
+`LEAST_HOLDERS` pages contain are boilerplate; what a single page says never is. A host has at most (its mean number of lines per page) / ratio of them,
 so its list is small whatever its number of pages, and pages meet that list, not
 each other. Counts combine before the shuffle, and hosts and lists are written
 tables, so Spark splits the join at a host with very many pages.
@@ -23,6 +23,7 @@ from offerloom.session import staged
 
 RATIO = 0.1
 LEAST_PAGES = 5
+LEAST_HOLDERS = 2
 HIDDEN = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 BLOCK = (
     r"(?i)</?(?:p|div|li|ul|ol|h[1-6]|br|tr|td|th|table|article|aside|nav|footer|header|section|main|title|head|body|html)\b[^>]*>"
@@ -48,7 +49,8 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST
     totals = staged(pages.groupBy("host").agg(F.count("*").alias("pages")).filter(F.col("pages") >= least_pages), "hosts")
     # pages learn their host's size before they are cut into lines, so the counts need no join of their own
     sized = pages.join(totals, "host").select("host", "pages", F.explode(F.array_distinct("lines")).alias("line"))
-    over = sized.groupBy("host", "pages", "line").count().filter(F.col("count") > ratio * F.col("pages"))
+    frequent = (F.col("count") >= LEAST_HOLDERS) & (F.col("count") > ratio * F.col("pages"))
+    over = sized.groupBy("host", "pages", "line").count().filter(frequent)
     return staged(over.groupBy("host").agg(F.sort_array(F.collect_list("line")).alias("common")), "boilerplate")
 
 
@@ -57,10 +59,12 @@ def site_dedup(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_
     cut = pages.select("page_id", host_of(F.col("url")).alias("host"), lines_of(F.col("html")).alias("lines"))
     cut = staged(cut, "page-lines")
     common = boilerplate(cut.select("host", "lines"), ratio, least_pages)
-    kept = F.filter("lines", lambda line: ~F.coalesce(F.array_contains("common", line), F.lit(False)))
+    # the page's own boilerplate first, by a hash set of the host's list: lines meet that short list only
+    own = F.coalesce(F.array_intersect("lines", "common"), F.array().cast("array<string>"))
     return (
         cut.join(common, "host", "left")
-        .withColumn("kept", kept)
+        .withColumn("own", own)
+        .withColumn("kept", F.filter("lines", lambda line: ~F.array_contains("own", line)))
         .select(
             "page_id",
             "host",

@@ -381,6 +381,33 @@ def test_quotations(spark):
 # lines and urls
 
 
+@pytest.mark.parametrize("pages", [1, 4, 5, 9, 10, 11, 20, 21, 40])
+def test_site_lines_of_small_hosts(spark, pages):
+    """At the production ratio: single lines stay, a line of every page goes from five pages on, one of two pages by the ratio."""
+    html = ["<p>menu</p>" + ("<p>pair</p>" if k < 2 else "") + f"<p>only {k}</p><p>and {k}</p>" for k in range(pages)]
+    frame = spark.createDataFrame([(k, "http://h.org/x", h) for k, h in enumerate(html)], "page_id bigint, url string, html string")
+    for row in site_lines.site_dedup(frame).collect():
+        k = row["page_id"]
+        want = [] if pages >= 5 else ["menu"]
+        if k < 2 and not (pages >= 5 and 2 > 0.1 * pages):
+            want.append("pair")
+        assert row["text"].split("\n") == [*want, f"only {k}", f"and {k}"]
+
+
+def test_site_lines_edges(spark):
+    """Nulls, empty and long texts, clashing columns, repeated rows."""
+    long = "<p>" + "word " * 50_000 + "</p>"
+    rows = [(1, None, None), (None, "http://h.org", ""), (2, "http://h.org", long)]
+    rows += [(3, "http://h.org", "<p>a</p>")] * 6
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    extra = frame.select("*", *[F.lit(1).alias(c) for c in "host lines common own kept pages line count n_lines text".split()])
+    got = site_lines.report(site_lines.site_dedup(extra)).collect()
+    assert len(got) == 9 and {r["page_id"] for r in got} == {1, 2, 3, None}
+    # 6 of 8 pages say "a", and each repeated row loses it
+    assert [r["n_dropped"] for r in got if r["page_id"] == 3] == [1] * 6
+    assert [r["n_dropped"] for r in got if r["page_id"] != 3] == [0] * 3
+
+
 def test_site_lines(spark):
     rows = [(k, "http://A.com/x", f"<p>menu</p><p>text {k}</p><script>menu</script>") for k in range(6)]
     rows += [(10, "http://b.com", "<p>menu</p>"), (11, None, None), (12, "nothing", "<b>a</b>b")]

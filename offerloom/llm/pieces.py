@@ -30,7 +30,8 @@ from offerloom.llm.frames import map_arrow
 from offerloom.llm.words import slices, texts_of
 
 MARK = "▁"
-REMEMBERED = 200_000  # units in each of the two generations a task keeps
+REMEMBERED = 24 << 20  # bytes of units in each of the two generations a process keeps
+ENTRY = 220  # bytes that a remembered unit takes besides its ids
 LONGEST = 48  # longer units are not remembered, and worked off one by one
 _NEVER = np.int32(2**31 - 1)
 
@@ -73,6 +74,7 @@ class Pieces:
         self._table()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.held = 0
 
     def merge(self, unit: str) -> list[str]:
         """The unit's symbols after all merges."""
@@ -228,18 +230,20 @@ class Pieces:
         cut = [self.unit.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         young, old = self.young, self.old
         missing = set(chain.from_iterable(cut)).difference(young)
-        young.update((u, old[u]) for u in missing.intersection(old))
+        known = {u: old[u] for u in missing.intersection(old)}
         new = list(missing.difference(old))
         here = dict(zip(new, self.ids_of(new)))
         if check and new:
             self.compare(new, here)
         long = {u for u in new if len(u) > LONGEST}
-        young.update(here)
+        for part in (known, here):
+            young.update(part)
+            self.held += ENTRY * len(part) + sum(map(len, part.values()))
         out = [b"".join(map(young.__getitem__, units)) for units in cut]
         for u in long:
-            del young[u]
-        if len(young) > REMEMBERED:
-            self.old, self.young = young, {}
+            self.held -= ENTRY + len(young.pop(u))
+        if self.held > REMEMBERED:
+            self.old, self.young, self.held = young, {}, 0
         return out
 
     def compare(self, units: list[str], ours: dict[str, bytes]) -> None:
@@ -287,7 +291,13 @@ class Pieces:
         """
         sizes = self.sizes[ids]
         upto = np.concatenate([[0], np.cumsum(sizes)])
-        at = np.repeat(self.places[:-1][ids] - upto[:-1], sizes) + np.arange(upto[-1])
+        # from one byte to the next by one, from one piece to the next by a jump; control pieces have no bytes
+        shown = np.flatnonzero(sizes)
+        jump = self.places[:-1][ids[shown]]
+        jump[1:] -= jump[:-1] + sizes[shown[:-1]] - 1
+        step = np.ones(int(upto[-1]), np.int32)
+        step[upto[:-1][shown]] = jump
+        at = np.cumsum(step, dtype=np.int32)
         some = np.flatnonzero(ends[1:] > ends[:-1])
         marked = some[self.is_marked[ids[ends[some]]]]
         drop = np.zeros(len(ends) - 1, np.int64)
@@ -345,7 +355,7 @@ def encode(docs: DataFrame, model_file: str, check: bool = True) -> DataFrame:
         pieces = _pieces(model.value)
         for batch in batches:
             _, offsets = texts_of(batch.column(1))
-            for a, b in slices(offsets, 1 << 22, 1 << 14):
+            for a, b in slices(offsets):
                 texts = [t or "" for t in batch.column(1).slice(a, b - a).to_pylist()]
                 coded = pieces.encode(texts, check)
                 ids = np.frombuffer(b"".join(coded), np.int32)

@@ -48,6 +48,12 @@ def _power(which: str, n: int) -> np.ndarray:
     return _powers[which][:n]
 
 
+def forget() -> None:
+    """Drop the powers, which grow with the longest text met."""
+    for which in _powers:
+        _powers[which] = np.ones(1, np.uint64)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalise 64-bit sums so that every bit depends on every input bit."""
     x = x ^ (x >> np.uint64(31))

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from offerloom.sources import versioned
 from offerloom.sources.fixtures import BEST_ML, NO_OFFER, OFFER_TYPES
 
 CONTROL_ROWS = 10_000
@@ -73,6 +74,17 @@ def seed_catalog() -> list[Offer]:
     return [Offer(*row) for row in CATALOG_ROWS]
 
 
+def store_controls(path: str, catalog: DataFrame, budgets: DataFrame, rules: DataFrame) -> None:
+    """Write the control tables as next versions; what runs keep reading is the version they opened."""
+    for name, table in (("catalog", catalog), ("budgets", budgets), ("rules", rules)):
+        versioned.write_version(table, f"{path}/{name}")
+
+
+def stored(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A stored control table: catalog, budgets or rules."""
+    return versioned.read_version(spark, f"{path}/{name}")
+
+
 def rules_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(RULE_ROWS, RULE_SCHEMA)
 

@@ -4,53 +4,115 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerloom.operators.pit import duplicate_keys
 from offerloom.operators.scan import prefix_scan, ranged
-from offerloom.session import staged
+from offerloom.sources import versioned
 
 # Fixed value: rows per insert statement of an export.
 EXPORT_BATCH = 2000
+FEATURE_MONTH, RUN_DATE, BUCKET = "feature_month", "scored_date", "bucket"
+BUCKETS = 64
+
 
+def save(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+    """Replace a table, schema included, by its next version; the row count is taken while writing."""
+    return versioned.write_version(df, path, partition_by=partition_by).rows
 
-def save(df: DataFrame, path: str) -> int:
-    """Replace a table, schema included; the row count is taken while writing."""
-    seen = Observation()
-    df.observe(seen, F.count("*").alias("n")).write.mode("overwrite").parquet(path)
-    return seen.get["n"]
 
+def load(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
+    """A table that `save` or `write_feature_table` wrote; what is read stays the version that was opened."""
+    return versioned.read_version(spark, path, number)
 
-def write_feature_table(df: DataFrame, path: str, keys: Sequence[str]) -> int:
-    """Replace a keyed time-series table; refuse it if a key occurs twice.
 
-    The rows are written beside the table and checked there, so readers never see
-    a refused table.
+def write_feature_table(df: DataFrame, path: str, keys: Sequence[str], ts: str | None = None) -> int:
+    """Replace a keyed time-series table, by month of `ts`; refuse it if a key occurs twice.
+
+    The rows are checked where they are stored, before the version is named, so readers
+    never see a refused table.
     """
-    new = staged(df, "feature-table")
-    twice = duplicate_keys(new.select(*keys), keys).first()[0]
-    if twice:
-        raise ValueError(f"{twice} keys of {list(keys)} occur more than once")
-    return save(new, path)
 
+    def unique(stored: DataFrame) -> None:
+        twice = duplicate_keys(stored.select(*keys), keys).first()[0]
+        if twice:
+            raise ValueError(f"{twice} keys of {list(keys)} occur more than once")
 
-def append_snapshot(df: DataFrame, path: str, ts: str = "scored_at") -> None:
-    """Append one run to a snapshot table; running it again replaces that run only."""
+    if ts is None:
+        return versioned.write_version(df, path, unique).rows
+    dated = df.withColumn(FEATURE_MONTH, F.date_format(ts, "yyyy-MM"))
+    # ranges of time, so a task writes to few folders and a busy month still has many tasks
+    return versioned.write_version(dated.repartitionByRange(FEATURE_MONTH, *keys), path, unique, [FEATURE_MONTH]).rows
+
+
+def append_runs(df: DataFrame, path: str, ts: str) -> None:
+    """Append rows by day and instant of `ts`; running an instant again replaces its rows only."""
     spark = df.sparkSession
     run = F.date_format(ts, "yyyyMMddHHmmssSSSSSS")
     (
-        df.withColumns({"scored_date": F.to_date(ts), "run": run})
+        df.withColumns({RUN_DATE: F.to_date(ts), "run": run})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("scored_date", "run")
+        .partitionBy(RUN_DATE, "run")
         .parquet(path)
     )
     spark.catalog.refreshByPath(path)
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("scored_date", "run")
+def append_snapshot(df: DataFrame, path: str, ts: str = "scored_at") -> None:
+    """Append scored runs to a snapshot table; running one again replaces that run only."""
+    append_runs(df, path, ts)
+
+
+def read_snapshot(spark: SparkSession, path: str, days: Sequence[str] | None = None) -> DataFrame:
+    """Stored runs with their `scored_date`; of the folders only those of `days` are read, if given."""
+    stored = spark.read.parquet(path).drop("run")
+    return stored if days is None else stored.filter(F.col(RUN_DATE).isin(*[date.fromisoformat(d[:10]) for d in days]))
+
+
+def _digest(columns: Sequence[str], salt: int) -> Column:
+    """64 bits of a row; a null differs from any value and from a null elsewhere."""
+    parts = [x for c in columns for x in (F.col(c), F.col(c).isNull())]
+    return F.sum(F.xxhash64(F.lit(salt), *parts).cast("decimal(38,0)"))
+
+
+def bucket_digests(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """{bucket: [rows, two sums of row digests]}: equal for equal rows, whatever their order."""
+    sums = df.groupBy(BUCKET).agg(F.count("*").alias("n"), _digest(columns, 1).alias("a"), _digest(columns, 2).alias("b"))
+    return {str(r[BUCKET]): [str(r["n"]), str(r["a"]), str(r["b"])] for r in sums.collect()}  # a row a bucket
+
+
+def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int = BUCKETS) -> int:
+    """Replace a keyed table by its next version, stored by bucket of the key, a digest of each in its manifest.
+
+    Returns the version's number. Versions to be compared need the same number of buckets.
+    """
+    placed = df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).repartition(BUCKET)
+    held: dict = {"buckets": buckets, "keys": list(keys)}
+
+    def digest(stored: DataFrame) -> None:
+        held["digests"] = bucket_digests(stored, df.columns)
+
+    return versioned.write_version(placed, path, digest, [BUCKET], held).number
+
+
+def changed_buckets(spark: SparkSession, path: str, old: int, new: int) -> list[int]:
+    """Buckets whose rows differ between two versions, from the manifests alone."""
+    left, right = (versioned.version(spark, path, n).info for n in (old, new))
+    if (left["buckets"], left["keys"]) != (right["buckets"], right["keys"]):
+        raise ValueError("the versions are bucketed in different ways")
+    a, b = left["digests"], right["digests"]
+    return sorted(int(k) for k in {*a, *b} if a.get(k) != b.get(k))
+
+
+def versioned_change_feed(spark: SparkSession, path: str, old: int, new: int, keys: Sequence[str]) -> DataFrame:
+    """`change_feed` of two versions that `write_bucketed` wrote; equal buckets are neither read nor shuffled."""
+    differ = F.col(BUCKET).isin(*changed_buckets(spark, path, old, new))
+    before, after = (load(spark, path, n).filter(differ).drop(BUCKET) for n in (old, new))
+    return change_feed(before, after, keys)
 
 
 def _sides(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -95,8 +157,8 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     return both.select(F.explode(images).alias("c")).select("c.change", "c.row.*")
 
 
-def audit(feed: DataFrame, user: str, action: str) -> DataFrame:
-    """One audit row per kind of change, with the count as JSON detail."""
+def audit(feed: DataFrame, user: str, action: str, at: str) -> DataFrame:
+    """One audit row per kind of change, with the count as JSON detail and the given instant."""
     return (
         feed.groupBy("change")
         .agg(F.count("*").alias("n"))
@@ -104,10 +166,20 @@ def audit(feed: DataFrame, user: str, action: str) -> DataFrame:
             F.lit(user).alias("user"),
             F.lit(action).alias("action"),
             F.to_json(F.struct("change", "n")).alias("detail"),
+            F.lit(at).cast("timestamp_ntz").alias("audited_at"),
         )
     )
 
 
+def append_audit(rows: DataFrame, path: str) -> None:
+    """Append audit rows; an instant that is written again replaces its rows, so a retry adds nothing."""
+    append_runs(rows, path, "audited_at")
+
+
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop(RUN_DATE, "run")
+
+
 def export_customers(customer_scores: DataFrame) -> DataFrame:
     """The typed projection of the customer base that is exported."""
     return customer_scores.select(
@@ -140,10 +212,7 @@ def reconcile(left: DataFrame, right: DataFrame, left_name: str, right_name: str
     return count(left, left_name).join(count(right, right_name), "one").drop("one")
 
 
-def step_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Row count of each step's table."""
-    out = None
-    for name, df in tables.items():
-        part = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("step"), "n")
-        out = part if out is None else out.unionByName(part)
-    return out
+def step_counts(tables: dict[str, DataFrame], path: str) -> DataFrame:
+    """Write each step's table under `path`; the row counts are those seen by the writers."""
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame([(name, save(df, f"{path}/{name}")) for name, df in tables.items()], "step string, n long")

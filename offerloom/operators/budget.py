@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerloom.operators.scan import prefix_scan, ranged
-from offerloom.session import bounded
 from offerloom.sources.fixtures import NO_OFFER
 
 
-def running_cost(decisions: DataFrame, scenario: Sequence[str] = ()) -> DataFrame:
+def running_cost(decisions: DataFrame, scenario: Sequence[str] = (), limits: DataFrame | None = None) -> DataFrame:
     """Cumulative cost within each segment by falling probability, then customer.
 
+    `limits` has a row per (scenario and) segment, whose other columns the rows get; it
+    is joined to the totals of blocks, which are few, and not to the rows.
+
     Segments are few and huge, and one probability may be shared by a large part
     of the customers, so blocks are ranges of (segment, probability, customer).
     """
@@ -22,7 +24,7 @@ def running_cost(decisions: DataFrame, scenario: Sequence[str] = ()) -> DataFram
     order = [F.col("p_accept").desc(), F.col("customer_id")]
     laid = ranged(decisions, [*[F.col(g) for g in group], *order], "decisions")
     laid = laid.withColumn("spent", F.col("cost").cast("long"))
-    return prefix_scan(laid, group, ["block"], order, {"running_cost": ("sum", "spent")}).drop("spent", "block")
+    return prefix_scan(laid, group, ["block"], order, {"running_cost": ("sum", "spent")}, known=limits).drop("spent", "block")
 
 
 def apply_budget(decisions: DataFrame, budgets: DataFrame, scenario: Sequence[str] = ()) -> DataFrame:
@@ -35,8 +37,7 @@ def apply_budget(decisions: DataFrame, budgets: DataFrame, scenario: Sequence[st
     limits = budgets.groupBy(*scenario, "segment").agg(F.sum("budget").alias("budget"))
     fits = (F.col("offer_type") != NO_OFFER) & (F.col("running_cost") <= F.coalesce("budget", F.lit(0)))
     return (
-        running_cost(decisions, scenario)
-        .join(bounded(limits), [*scenario, "segment"], "left")
+        running_cost(decisions, scenario, limits)
         .withColumn("eligible", fits)
         .withColumn("final_offer", F.when(F.col("eligible"), F.col("offer_type")).otherwise(NO_OFFER))
         .drop("budget")

@@ -1,15 +1,19 @@
-"""Daily profile of scored snapshots and two-sample Kolmogorov-Smirnov distance."""
+"""Daily profile of scored snapshots and two-sample Kolmogorov-Smirnov distance.
+
+Both are read from value counts: how often each value was seen per day, slice and
+column, a null among them. Counts of parts add up, so snapshots may be counted in any
+pieces and order, as batches of a stream or all at once.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, GroupedData
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerloom.functions.scalars import value_block
 from offerloom.operators.scan import prefix_scan
-from offerloom.session import bounded
 
 WINDOW = "1 day"
 
@@ -21,54 +25,49 @@ def _long_form(snapshot: DataFrame, columns: Sequence[str], slice_by: str, ts: s
     ).select("window_start", slice_by, "cell.*")
 
 
-def profile_measures(value: Column) -> list[Column]:
-    """Row count, mean, standard deviation and share of NULLs."""
+def value_counts(snapshot: DataFrame, columns: Sequence[str], slice_by: str, ts: str) -> DataFrame:
+    """(window_start, slice, column, value, n), a null value counted like any other."""
+    cells = _long_form(snapshot, columns, slice_by, ts)
+    return cells.groupBy("window_start", slice_by, "column", "value").agg(F.count("*").alias("n"))
+
+
+def profile_measures(value: Column, n: Column) -> list[Column]:
+    """Row count, mean, standard deviation and share of nulls of values seen n times each."""
+    known = F.sum(F.when(value.isNotNull(), n))
+    total, squares = F.sum(value * n), F.sum(value * value * n)
+    spread = F.greatest(F.lit(0.0), squares - total * total / known) / (known - 1)
     return [
-        F.count("*").alias("n"),
-        F.round(F.avg(value), 4).alias("mean"),
-        F.round(F.stddev_samp(value), 4).alias("stddev"),
-        F.round(F.count_if(value.isNull()) / F.count("*"), 6).alias("null_rate"),
+        F.sum(n).alias("n"),
+        F.round(total / known, 4).alias("mean"),
+        F.when(known > 1, F.round(F.sqrt(spread), 4)).alias("stddev"),
+        F.round(F.sum(F.when(value.isNull(), n).otherwise(0)) / F.sum(n), 6).alias("null_rate"),
     ]
 
 
-def drift_profile(snapshot: DataFrame, columns: Sequence[str], slice_by: str, ts: str) -> DataFrame:
-    """Profile of each column per day and slice."""
-    cells = _long_form(snapshot, columns, slice_by, ts)
-    return cells.groupBy("window_start", slice_by, "column").agg(*profile_measures(F.col("value")))
+def profile_of_counts(counts: DataFrame, slice_by: str) -> DataFrame:
+    """Profile of each column per day and slice, from value counts."""
+    return counts.groupBy("window_start", slice_by, "column").agg(*profile_measures(F.col("value"), F.col("n")))
 
 
-def _sizes(grouped: GroupedData, keys: Sequence[str], columns: Sequence[str], name: str) -> DataFrame:
-    """Number of values per group and column, without unrolling the rows first."""
-    wide = grouped.agg(*[F.count(c).alias(f"_{c}") for c in columns])
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_{c}").alias(name)) for c in columns])
-    return wide.select(*keys, F.explode(cells).alias("c")).select(*keys, "c.*")
+def drift_profile(snapshot: DataFrame, columns: Sequence[str], slice_by: str, ts: str) -> DataFrame:
+    """Profile of each column per day and slice."""
+    return profile_of_counts(value_counts(snapshot, columns, slice_by, ts), slice_by)
 
 
-def drift_ks(snapshot: DataFrame, baseline: DataFrame, columns: Sequence[str], slice_by: str, ts: str) -> DataFrame:
+def ks_of_counts(now: DataFrame, old: DataFrame, slice_by: str) -> DataFrame:
     """Largest gap between a day's distribution and the baseline's, per column and slice.
 
-    Values are counted first. The largest gap lies at a value of the day or just
+    `now` and `old` are value counts, of the days asked and of the baseline, which
+    counts as one whatever its days. The largest gap lies at a value of the day or just
     before one, so only the baseline's counts up to and below the values seen are
     needed: one scan of the baseline's values serves all days, and the work is
-    linear in both. The table of sizes has a row per day, slice and column; it is
-    joined as a small side, since those keys have few values.
+    linear in both. The sizes of both sides are the totals of their scans, so no table
+    of sizes is joined.
     """
-    by = [slice_by, "column"]
+    by, zero = [slice_by, "column"], F.lit(0).cast("long")
     group = ["window_start", *by]
-    day = F.date_trunc("day", ts).cast("timestamp_ntz").alias("window_start")
-    here = _sizes(snapshot.groupBy(day, slice_by), ["window_start", slice_by], columns, "n_here")
-    there = _sizes(baseline.groupBy(slice_by), [slice_by], columns, "n_there")
-    sizes = bounded(here.join(there, by).filter("n_here > 0 and n_there > 0"))
-
-    zero = F.lit(0).cast("long")
-    cells = _long_form(snapshot, columns, slice_by, ts).filter("value is not null")
-    now = cells.groupBy(*group, "value").agg(F.count("*").alias("here"))
-    old = (
-        _long_form(baseline, columns, slice_by, ts)
-        .filter("value is not null")
-        .groupBy(*by, "value")
-        .agg(F.count("*").alias("there"))
-    )
+    now = now.filter("value is not null").select(*group, "value", F.col("n").alias("here"))
+    old = old.filter("value is not null").groupBy(*by, "value").agg(F.sum("n").alias("there"))
     asked = now.select(*by, "value", zero.alias("there"), F.lit(True).alias("asked"))
     line = (
         old.withColumn("asked", F.lit(False))
@@ -77,15 +76,25 @@ def drift_ks(snapshot: DataFrame, baseline: DataFrame, columns: Sequence[str], s
         .agg(F.sum("there").alias("there"), F.max("asked").alias("asked"))
         .withColumn("value_block", value_block(F.col("value")))
     )
-    base = prefix_scan(line, by, ["value_block"], ["value"], {"cum_there": ("sum", "there")}, keep="asked")
+    base = prefix_scan(
+        line, by, ["value_block"], ["value"], {"cum_there": ("sum", "there")}, keep="asked", totals={"n_there": "there"}
+    )
     seen = now.withColumn("value_block", value_block(F.col("value")))
-    steps = prefix_scan(seen, group, ["value_block"], ["value"], {"cum_here": ("sum", "here")})
-    both = steps.drop("value_block").join(base.select(*by, "value", "there", "cum_there"), [*by, "value"])
+    steps = prefix_scan(seen, group, ["value_block"], ["value"], {"cum_here": ("sum", "here")}, totals={"n_here": "here"})
+    both = steps.drop("value_block").join(base.select(*by, "value", "there", "cum_there", "n_there"), [*by, "value"])
     here, there = F.col("cum_here"), F.col("cum_there")
     gap = lambda h, t: F.abs(h / F.col("n_here") - t / F.col("n_there"))
     largest = F.greatest(gap(here, there), gap(here - F.col("here"), there - F.col("there")))
+    # a slice that the baseline does not have has no distance
     return (
-        both.join(sizes, group)
+        both.filter("n_there > 0")
         .groupBy(*group)
         .agg(F.round(F.max(largest), 6).alias("ks"), F.max("n_here").alias("n"), F.max("n_there").alias("n_baseline"))
     )
+
+
+def drift_ks(snapshot: DataFrame, baseline: DataFrame, columns: Sequence[str], slice_by: str, ts: str) -> DataFrame:
+    """`ks_of_counts` of the days of `snapshot` against all of `baseline`."""
+    return ks_of_counts(
+        value_counts(snapshot, columns, slice_by, ts), value_counts(baseline, columns, slice_by, ts), slice_by
+    )

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerloom.functions.scalars import unit_block
-from offerloom.operators.scan import prefix_scan, ranged
-from offerloom.session import bounded, staged
+from offerloom.operators.scan import prefix_scan
+from offerloom.session import staged
 
 NO_COLUMN = "(none)"
 
@@ -23,16 +24,16 @@ def stratified_split(df: DataFrame, key: str, label: str, test_share: float = 0.
     """Mark the first `ceil(share * n)` rows of each label, by md5 of the key, as test.
 
     The share of every label is exact, and the split does not depend on the
-    partitioning. `df` is read several times: stage it when it is costly.
+    partitioning. The label's size rides on the totals of its blocks. `df` is read several times: stage it when it is costly.
     """
     marked = df.withColumn("mark", F.md5(F.col(key).cast("string"))).withColumns(
         {"hash_block": _hash_block("mark"), "one": F.lit(1).cast("long")}
     )
-    placed = prefix_scan(marked, [label], ["hash_block"], ["mark", key], {"position": ("sum", "one")})
-    sizes = df.groupBy(label).agg(F.count("*").alias("stratum"))
+    placed = prefix_scan(
+        marked, [label], ["hash_block"], ["mark", key], {"position": ("sum", "one")}, totals={"stratum": "one"}
+    )
     test = F.col("position") <= F.ceil(F.col("stratum") * test_share)
-    sizes = bounded(sizes.withColumnRenamed(label, "_label"))
-    return placed.join(sizes, F.col(label).eqNullSafe(F.col("_label"))).withColumn("is_test", test).select(*df.columns, "is_test")
+    return placed.withColumn("is_test", test).select(*df.columns, "is_test")
 
 
 def auc(df: DataFrame, score: str, label: str, group: Sequence[str] = ()) -> DataFrame:
@@ -69,42 +70,87 @@ def accuracy(df: DataFrame, score: str, label: str, group: Sequence[str] = (), t
     )
 
 
+def _is_prime(n: int) -> bool:
+    """Miller-Rabin with bases that decide every 64-bit number."""
+    odd, twos = n - 1, 0
+    while odd % 2 == 0:
+        odd, twos = odd // 2, twos + 1
+    for base in (2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37):
+        x = pow(base, odd, n)
+        if x not in (1, n - 1) and not any((x := x * x % n) == n - 1 for _ in range(twos - 1)):
+            return False
+    return True
+
+
+def deals(columns: Sequence[str], repeats: int) -> list[tuple[str, int, int, int]]:
+    """(column, repeat, multiplier, shift) of each dealing out.
+
+    Multipliers are the primes above 2^61, one each: no table has so many rows, so each has
+    no factor in common with the number of rows, and position -> multiplier * position +
+    shift, modulo that number, meets every row once.
+    """
+    out, prime = [], 2**61 + 1
+    for column in columns:
+        for repeat in range(1, repeats + 1):
+            while not _is_prime(prime):
+                prime += 2
+            shift = int(hashlib.md5(f"{repeat}:{column}".encode()).hexdigest()[:8], 16)
+            out.append((column, repeat, prime, shift))
+            prime += 2
+    return out
+
+
+def _modular(multiplier: Column, position: Column, shift: Column, n: Column) -> Column:
+    """(multiplier * position + shift) mod n, exact for up to 10^18 rows."""
+    wide = lambda c: c.cast("decimal(18,0)")
+    return ((wide(multiplier % n) * wide(position) + wide(shift % n)) % wide(n)).cast("long")
+
+
 def permutation_importance(
     test: DataFrame,
     key: str,
     columns: Sequence[str],
-    score: Column,
+    score: Column | Callable[[DataFrame], DataFrame],
     label: str,
     repeats: int = 5,
 ) -> DataFrame:
     """Mean loss of AUC when one column's values are dealt out anew.
 
-    Row number i by `key` receives the column's value from row number i by
-    md5(key:repeat:column). All (column, repeat) pairs go through one job: the
-    join is on the position, which no key can dominate.
+    Rows are numbered once, by md5 of the key, which leaves no order of the table in the
+    numbers. A deal then sends each row's value to the row of a number that follows by
+    arithmetic (see `deals`), so no deck is shuffled or sorted: the values of all deals
+    travel to their rows in one exchange, a bounded number for each row. `score` is a
+    column, or a function that adds a column `p`, such as a fitted model.
     """
-    kept = test.withColumns({c: F.col(c).cast("double") for c in columns})
-    laid = ranged(kept, [F.col(key)], "test-rows").withColumn("one", F.lit(1).cast("long"))
-    base = prefix_scan(laid, [], ["block"], [key], {"position": ("sum", "one")}).drop("one", "block")
-    values = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("dealt")) for c in columns])
-    deck = (
-        laid.select(key, "one", F.explode(values).alias("v"))
-        .select(key, "one", "v.*", F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("repeat"))
-        .withColumn("mark", F.md5(F.concat_ws(":", F.col(key).cast("string"), "repeat", "column")))
-        .withColumn("hash_block", _hash_block("mark"))
-    )
-    dealt = prefix_scan(
-        deck, ["column", "repeat"], ["hash_block"], ["mark", key], {"position": ("sum", "one")}
-    ).select("column", "repeat", "position", "dealt")
-    swapped = base.join(dealt, "position").withColumns(
-        {c: F.when(F.col("column") == c, F.col("dealt")).otherwise(F.col(c)) for c in columns}
+    marked = test.withColumns({c: F.col(c).cast("double") for c in columns}).withColumn("_mark", F.md5(F.col(key).cast("string")))
+    marked = marked.withColumns({"hash_block": _hash_block("_mark"), "_one": F.lit(1).cast("long")})
+    placed = prefix_scan(marked, [], ["hash_block"], ["_mark", key], {"_place": ("sum", "_one")}, totals={"_n": "_one"})
+    base = staged(placed.withColumn("_place", F.col("_place") - 1).drop("_mark", "hash_block"), "test-rows")
+    n, place = F.col("_n"), F.col("_place")
+    sent = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column"),
+                F.lit(r).alias("repeat"),
+                _modular(F.lit(m), place, F.lit(b), n).alias("_to"),
+                F.col(c).alias("dealt"),
+            )
+            for c, r, m, b in deals(columns, repeats)
+        ]
     )
-    untouched = laid.withColumns({"column": F.lit(NO_COLUMN), "repeat": F.lit(0)})
-    runs = untouched.select("column", "repeat", label, score.alias("p")).unionByName(
-        swapped.select("column", "repeat", label, score.alias("p"))
-    )
-    per_run = auc(runs, "p", label, ["column", "repeat"])
+    dealt = base.select(F.inline(sent)).groupBy("_to").agg(F.collect_list(F.struct("column", "repeat", "dealt")).alias("_hand"))
+    met = base.join(dealt, place == F.col("_to")).withColumn("_dealt", F.explode("_hand")).select("*", "_dealt.*")
+    swapped = met.withColumns({c: F.when(F.col("column") == c, F.col("dealt")).otherwise(F.col(c)) for c in columns})
+    untouched = base.withColumns({"column": F.lit(NO_COLUMN), "repeat": F.lit(0)})
+
+    def scored(frame: DataFrame) -> DataFrame:
+        if isinstance(score, Column):
+            return frame.select("column", "repeat", label, score.alias("p"))
+        return score(frame.drop("_hand", "_dealt")).select("column", "repeat", label, "p")
+
+    per_run = auc(scored(untouched).unionByName(scored(swapped)), "p", label, ["column", "repeat"])
     means = per_run.groupBy("column").agg(F.avg("auc").alias("mean_auc"))
+    # a row per column from here on
     baseline = F.max(F.when(F.col("column") == NO_COLUMN, F.col("mean_auc"))).over(Window.partitionBy())
     return (
         means.withColumn("importance", F.round(baseline - F.col("mean_auc"), 6))

@@ -51,7 +51,6 @@ def fit_propensity(
             maxDepth=depth,
             stepSize=learning_rate,
             seed=seed,
-            cacheNodeIds=True,
             checkpointInterval=10,
         ),
     ]
@@ -59,10 +58,11 @@ def fit_propensity(
 
 
 def predict_proba(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Probability of acceptance, computed on the executors without Python."""
-    scored = model.transform(to_double(df, INPUTS))
+    """`df` with the probability of acceptance, computed on the executors without Python."""
+    inputs = [c for c in ("offer_type", *INPUTS) if c in df.columns]
+    scored = model.transform(to_double(df.select(F.struct(*df.columns).alias("_row"), *inputs), INPUTS))
     p = F.round(vector_to_array("probability")[1], SCORE_DIGITS).alias("p_accept")
-    return scored.select(*df.columns, p)
+    return scored.select("_row.*", p)
 
 
 def sweep(train: DataFrame, test: DataFrame, grid: Iterable[Mapping[str, object]], label: str = "accepted") -> DataFrame:

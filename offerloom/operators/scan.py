@@ -3,7 +3,9 @@
 A plain window gives each group to one task. Here a group is cut into blocks by
 an order-preserving block key: every block is scanned by itself, the block
 totals (few per group) are scanned on top, and each row adds what came before
-its block. Sums over integers, minima and maxima combine exactly.
+its block. Sums over integers, minima and maxima combine exactly. A group's total, and
+what else is known per group, rides on the block totals, so rows need no join on a
+group that all of them may share.
 """
 
 from __future__ import annotations
@@ -33,12 +35,15 @@ def prefix_scan(
     running: Mapping[str, tuple[str, str]],
     inclusive: bool = True,
     keep: str | None = None,
+    totals: Mapping[str, str] | None = None,
+    known: DataFrame | None = None,
 ) -> DataFrame:
-    """Add running aggregates `{output: (sum|max|min, column)}` to `df`.
+    """Add running aggregates `{output: (sum|max|min, column)}` to `df`, and `totals` `{output: column}` summed over the group.
 
     `block` must not decrease along `order` within a group, and `order` must be
     unique within a block. Null is a group like any other. `keep` names a boolean column: rows without it feed
-    the aggregates but are not returned. Both passes read `df`; stage it first
+    the aggregates but are not returned. `known` has the columns of `group`, at most one
+    row for each, and others that the group's rows get (null where it has none). Both passes read `df`; stage it first
     unless it ends in a shuffle that Spark can reuse.
     """
     # one struct, as structs with null fields are equal: rows of a null group keep their totals
@@ -51,18 +56,29 @@ def prefix_scan(
         .orderBy(*[F.col(f"_block.{b}") for b in block])
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    totals = [_AGG[fn](col).alias(f"_t_{out}") for out, (fn, col) in running.items()]
+    whole = Window.partitionBy(*[F.col(f"_block.{g}") for g in group])
+    totals = totals or {}
+    sums = [_AGG[fn](col).alias(f"_t_{out}") for out, (fn, col) in running.items()]
+    sums += [F.sum(col).alias(f"_s_{out}") for out, col in totals.items()]
     if keep:
-        totals.append(F.max(keep).alias("_wanted"))
-    offsets = df.groupBy(*keys).agg(*totals)
+        sums.append(F.max(keep).alias("_wanted"))
+    offsets = df.groupBy(*keys).agg(*sums)
     offsets = offsets.select(
         *keys,
         *(["_wanted"] if keep else []),
+        *[F.sum(f"_s_{out}").over(whole).alias(f"_all_{out}") for out in totals],
         *[
             _AGG[fn](f"_t_{out}").over(before).alias(f"_off_{out}")
             for out, (fn, _) in running.items()
         ],
     )
+    more = [c for c in known.columns if c not in group] if known is not None else []
+    if known is not None:
+        given = known.select(*[F.col(g).alias(f"_g_{g}") for g in group], *[F.col(c).alias(f"_all_{c}") for c in more])
+        same = F.lit(True)
+        for g in group:
+            same = same & F.col(f"_block.{g}").eqNullSafe(F.col(f"_g_{g}"))
+        offsets = offsets.join(given, same, "left").drop(*[f"_g_{g}" for g in group])
     within = [_AGG[fn](col).over(inside).alias(f"_in_{out}") for out, (fn, col) in running.items()]
     if keep:
         # blocks without a wanted row end here; only the others are sorted and scanned
@@ -70,11 +86,12 @@ def prefix_scan(
     else:
         rows = df.select("*", *within).join(offsets, keys)
     return rows.select(
-        *[F.col(c) for c in df_columns if c not in running],
+        *[F.col(c) for c in df_columns if c not in {*running, *totals, *more}],
         *[
             _combine(fn, F.col(f"_in_{out}"), F.col(f"_off_{out}")).alias(out)
             for out, (fn, _) in running.items()
         ],
+        *[F.col(f"_all_{out}").alias(out) for out in (*totals, *more)],
     )
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerloom.functions.scalars import choose, hash_uniform, sigmoid
-from offerloom.session import bounded
 from offerloom.sources.controls import Offer
 from offerloom.sources.fixtures import LEVELS
 
@@ -124,7 +123,7 @@ def offer_cost(df: DataFrame, catalog: Sequence[Offer]) -> DataFrame:
 
 def active_scores(scores: DataFrame, catalog: DataFrame) -> DataFrame:
     """Scores of the types that are active in the catalogue."""
-    return scores.join(bounded(catalog.filter("active").select("offer_type")), "offer_type", "left_semi")
+    return scores.join(catalog.filter("active").select("offer_type"), "offer_type", "left_semi")
 
 
 def _best_first() -> list[Column]:
@@ -151,7 +150,7 @@ def rank_candidates(scores: DataFrame) -> DataFrame:
 
 def expected_value(scores: DataFrame, values: DataFrame) -> DataFrame:
     """Best candidate by p x value - cost; `values` holds one value per offer type."""
-    valued = scores.join(bounded(values), "offer_type").withColumn(
+    valued = scores.join(values, "offer_type").withColumn(
         "expected_value", F.round(F.col("p_accept") * F.col("value") - F.col("cost"), 6)
     )
     w = Window.partitionBy("customer_id").orderBy(F.col("expected_value").desc(), *_best_first())
@@ -182,7 +181,7 @@ def offer_mix(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def score_requests(requests: DataFrame, features: DataFrame, catalog: Sequence[Offer]) -> DataFrame:
-    """Score (customer, type, level) requests, batch or stream, from current features.
+    """Score (customer, type, level) requests from current features.
 
     A customer without features is scored with the defaults, a type outside the
     catalogue with the neutral type weight.

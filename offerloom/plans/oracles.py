@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from itertools import combinations
 
+from offerloom.operators.evaluation import deals
 from offerloom.operators.features import CANDIDATES, FEATURES
 from offerloom.plans.settings import (
     AUDIT_ACTION,
@@ -22,6 +23,7 @@ from offerloom.plans.settings import (
     SCENARIO_OVERRIDE,
     SCENARIO_SHIFT,
     SNAPSHOT_RUNS,
+    SPEND_LIMIT,
     UNKNOWN_SHIFT,
 )
 from offerloom.sources.controls import BUDGET_ROWS, CATALOG_ROWS
@@ -174,17 +176,15 @@ def _drift_cells(source):
 
 
 def _importance_runs():
+    """Row j's value goes to row (multiplier * j + shift) mod n, rows numbered from 0 by md5 of the key."""
     runs = []
     used = {"days_since_redemption": "recency", "points_expiring_30d": "expiring", "missions_30d": "missions"}
-    for c in CANDIDATES:
+    for c, repeat, multiplier, shift in deals(CANDIDATES, 5):
         arg = {k: (f"d.{k}" if k == c else f"t.{k}") for k in used}
         p = _p("t.offer_type", "t.level", arg["days_since_redemption"], arg["points_expiring_30d"], arg["missions_30d"], "t.customer_id")
-        runs.append(f"""select '{c}' as "column", r.repeat, t.accepted, {p} as p from test_rows t
-          cross join (select unnest([1, 2, 3, 4, 5]) as repeat) r
-          join (select x.* exclude (position), r2.repeat, row_number() over (partition by r2.repeat
-                  order by md5(x.offer_id::varchar || ':' || r2.repeat::varchar || ':{c}')) as position
-                from test_rows x cross join (select unnest([1, 2, 3, 4, 5]) as repeat) r2) d
-            on d.position = t.position and d.repeat = r.repeat""")
+        to = f"(({multiplier}::hugeint % d.n) * d.position + {shift} % d.n) % d.n"
+        runs.append(f"""select '{c}' as "column", {repeat} as repeat, t.accepted, {p} as p
+          from test_rows t join test_rows d on t.position = {to}""")
     base = _p("offer_type", "level", "days_since_redemption", "points_expiring_30d", "missions_30d")
     runs.append(f"""select '(none)', 0, accepted, {base} from test_rows""")
     return " union all ".join(runs)
@@ -300,7 +300,7 @@ CTES: dict[str, str] = {
         left join offer_missions m using (offer_id)""",
     "split": """select *, row_number() over (partition by accepted order by md5(offer_id::varchar), offer_id)
         <= ceil(0.25 * count(*) over (partition by accepted)) as is_test from labelled""",
-    "test_rows": """select c.*, row_number() over (order by offer_id) as position
+    "test_rows": """select c.*, row_number() over (order by md5(offer_id::varchar), offer_id) - 1 as position, count(*) over () as n
         from candidates c join (select offer_id, is_test from split) s using (offer_id) where is_test""",
     "importance_runs": _importance_runs(),
     "importance_aucs": _auc("importance_runs", ['"column"', "repeat"]),
@@ -332,10 +332,8 @@ CTES: dict[str, str] = {
     "spend_spans": "select *, (sum(points) over w - points)::bigint as lo, (sum(points) over w)::bigint as hi from spends "
     "window w as (partition by customer_id order by ts, spend_id rows unbounded preceding)",
     "earlier_features": _features_at(f"timestamp '{EARLIER}'"),
-    "old_members": """select customer_id, redemptions_total, points_accumulated, missions_30d from earlier_features
-        where redemptions_90d > 0""",
-    "new_members": """select customer_id, redemptions_total, points_accumulated, missions_30d from now_features
-        where redemptions_90d > 0""",
+    "old_members": """select customer_id, redemptions_total, points_accumulated, missions_30d from earlier_features""",
+    "new_members": """select customer_id, redemptions_total, points_accumulated, missions_30d from now_features""",
     "feed": """select case when o.customer_id is null then 'insert' when n.customer_id is null then 'delete'
           else 'update_postimage' end as change, coalesce(n.customer_id, o.customer_id) as customer_id,
         case when n.customer_id is null then o.redemptions_total else n.redemptions_total end as redemptions_total,
@@ -353,8 +351,8 @@ CTES: dict[str, str] = {
         where offer_ts < timestamp '{CATALOG_CUT}' group by all""",
     "activity_new": f"""select customer_id, offer_type, max(offer_ts) as last_offer, count(*) as n_offers from offers
         where offer_ts >= timestamp '{CATALOG_CUT}' group by all""",
-    "budget_changes": f"""select customer_id, case when sum(points) > 400 then null else sum(points)::bigint end as budget
-        from redemptions where ts > {NOW} group by 1 union all
+    "budget_changes": f"""select customer_id, case when sum(points) > {SPEND_LIMIT} then null else sum(points)::bigint end as budget
+        from redemptions where ts <= {NOW} group by 1 union all
         select customer_id + {UNKNOWN_SHIFT}, 1::bigint from customers""",
     "user_features": """select user_id, ts, event_id, event_type,
         count(*) over w as events_total, count(*) filter (where event_type = 'error') over w as errors_total
@@ -449,6 +447,10 @@ FINAL: dict[str, str] = {
         from offer_scores group by 1""",
     "permutation_importance": """select "column", round((select auc from importance_aucs where "column" = '(none)') - avg(auc), 6) as importance
         from importance_aucs where "column" <> '(none)' group by 1""",
+    "propensity_gbt": "select offer_id, accepted, true as is_probability, true as beats_chance from split where is_test",
+    "champion_batch": f"""select customer_id, offer_type, level, cost, {_F}, scored_at, true as is_probability, true as from_champion
+        from ({_batch(RUN_TS)})""",
+    "champion_base": f"select {_BASE}, count(*) as offers, true as is_probability, true as from_champion from scored group by all",
     "best_run": "select run_id, model, version, auc, accuracy from version_runs qualify row_number() over (partition by model order by auc desc nulls last, run_id) = 1",
     "promotion_ledger": """select run_id, model, version, auc, champion_auc_before, promoted,
         max(case when promoted then version end) over (partition by model order by version rows unbounded preceding) as champion_version
@@ -460,8 +462,12 @@ FINAL: dict[str, str] = {
     "budget_update": """select b.customer_id, b.segment, case when u.customer_id is null then b.points_accumulated else u.budget end as budget
         from base b left join budget_changes u using (customer_id)""",
     "change_feed": "select * from feed",
+    "change_feed_by_digest": "select * from feed",
     "change_audit": f"""select '{AUDIT_USER}' as user, '{AUDIT_ACTION}' as action,
-        '{{"change":"' || change || '","n":' || count(*)::varchar || '}}' as detail from feed group by change""",
+        '{{"change":"' || change || '","n":' || count(*)::varchar || '}}' as detail, audited_at from feed
+        cross join (values (timestamp '{EARLIER}'), ({NOW})) t(audited_at) group by change, audited_at""",
+    "feature_table_stored": f"select customer_id, ts, {_F} from features",
+    "offers_of_stored_controls": "select customer_id, segment, rule, final_offer, offer_type, level, p_accept, cost, eligible from final_offers",
     "export_customers": """select customer_id, segment, score_max, redemptions_60d::int as redemptions_60d, recency_today,
         redemptions_total::int as redemptions_total, points_accumulated from cust_scores""",
     "export_scores": "select customer_id, offer_type, level, p_accept from scored",
@@ -492,12 +498,11 @@ FINAL: dict[str, str] = {
         from lot_spans l join spend_spans s on l.customer_id = s.customer_id and l.lo < s.hi and s.lo < l.hi""",
     "published_features": """select user_id, ts, event_id, event_type, events_total, errors_total from user_features
         qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""",
-    "streamed_scores": f"""select q.customer_id, q.offer_type, q.level, {_p('q.offer_type', 'q.level', 'b.days_since_redemption', 'b.points_expiring_30d', 'b.missions_30d', 'q.customer_id')} as p_accept,
-        (k.base_cost * q.level)::int as cost from requests q join base b using (customer_id) join catalog k using (offer_type)""",
-    "streamed_drift": """select window_start, offer_type, count(*) as n, round(avg(value), 4) as mean,
-        round(stddev_samp(value), 4) as stddev, round(avg((value is null)::int), 6) as null_rate from drift_now
-        where "column" = 'p_accept' group by all""",
+    "streamed_scores": f"""select q.offer_id, q.customer_id, q.offer_ts, q.offer_type, q.level, {_p('q.offer_type', 'q.level', 'q.days_since_redemption', 'q.points_expiring_30d', 'q.missions_30d', 'q.customer_id')} as p_accept,
+        (k.base_cost * q.level)::int as cost from (select offer_id, customer_id, offer_ts, offer_type, level, {_known('t')}
+          from ({_pit('offers', 'offer_ts', FEATURES)}) t) q join catalog k using (offer_type)""",
 }
+FINAL["streamed_drift"], FINAL["streamed_ks"] = FINAL["drift_profile"], FINAL["drift_ks"]
 
 
 def _reached(text: str, seen: set[str]) -> None:

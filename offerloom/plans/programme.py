@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerloom.functions.timing import ts_lit
-from offerloom.operators import budget, features, pit, rules, scoring, segments
+from offerloom.operators import budget, champion, evaluation, features, pit, rules, scoring, segments
 from offerloom.operators.timeline import credit_spec, fact_changes, measures_at, mission_spec, redemption_spec
-from offerloom.sources import controls
+from offerloom.plans import settings as st
+from offerloom.session import scratch_path, shared_dir, staged
+from offerloom.sources import controls, maintenance
 from offerloom.sources.fixtures import AS_OF, Tables
 
 KEY, TS = "customer_id", "ts"
@@ -21,7 +24,14 @@ MODEL_VERSION = 1
 
 
 class Programme(Tables):
-    """Lazy tables of one data folder as of a fixed "now"."""
+    """Lazy tables of one data folder as of a fixed "now".
+
+    With `controls` the catalogue, budgets and rules are those stored there, else the seed.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, controls: str | None = None) -> None:
+        super().__init__(spark, folder)
+        self.controls = controls
 
     @property
     def now(self) -> Column:
@@ -29,6 +39,8 @@ class Programme(Tables):
 
     @cached_property
     def catalog(self) -> list[controls.Offer]:
+        if self.controls:
+            return controls.catalog_offers(controls.stored(self.spark, self.controls, "catalog"))
         return controls.seed_catalog()
 
     @cached_property
@@ -120,10 +132,12 @@ class Programme(Tables):
 
     @cached_property
     def rules(self) -> DataFrame:
-        return controls.rules_table(self.spark)
+        return controls.stored(self.spark, self.controls, "rules") if self.controls else controls.rules_table(self.spark)
 
     @cached_property
     def budgets(self) -> DataFrame:
+        if self.controls:
+            return controls.stored(self.spark, self.controls, "budgets")
         return controls.budgets_table(self.customer_ids)
 
     @cached_property
@@ -138,6 +152,45 @@ class Programme(Tables):
     def final_offers(self) -> DataFrame:
         return budget.apply_budget(self.decisions, self.budgets)
 
+    @cached_property
+    def split_training_set(self) -> DataFrame:
+        """The training set with its held-out part marked."""
+        rows = staged(self.training_set, "training")
+        return staged(evaluation.stratified_split(rows, "offer_id", "accepted"), "split")
+
+    @cached_property
+    def models(self) -> champion.ModelStore:
+        """The session's store of models fitted on this folder; the first use trains and gates them."""
+        place = hashlib.sha256(f"{self.spark.sparkContext.applicationId} {self.folder}".encode()).hexdigest()[:16]
+        store = champion.ModelStore(self.spark, f"{shared_dir(self.spark)}/models-{place}")
+        if store.versions().count() < len(st.MODEL_SETTINGS):
+            split = self.split_training_set
+            train, held_out = split.filter(~F.col("is_test")), split.filter("is_test")
+            done = store.versions().count()
+            champion.train_and_gate(store, train, held_out, st.MODEL_SETTINGS[done:], AS_OF)
+        return store
+
+    def stored_snapshots(self, *runs: str) -> str:
+        """Path of a snapshot table with the given runs."""
+        path = scratch_path(self.spark, "snapshots")
+        maintenance.append_snapshot(self.score_batch(*runs), path)
+        return path
+
+    def champion_batch(self, *runs: str) -> DataFrame:
+        """Grid at pinned instants scored by the champion, with the features used and its version."""
+        known = features.fill_defaults(self.features_before(runs), features.FEATURE_DEFAULTS)
+        grid = scoring.offer_grid(known, self.catalog)
+        return champion.score_with_champion(
+            self.models,
+            grid,
+            [KEY, "offer_type", "level", "p_accept", "cost", *features.FEATURES, "model_version", "scored_at"],
+        )
+
+    @cached_property
+    def champion_scored(self) -> DataFrame:
+        """Every customer, type and level scored by the champion with the newest features."""
+        return champion.score_with_champion(self.models, scoring.offer_grid(self.base, self.catalog))
+
     def features_before(self, runs: Sequence[str]) -> DataFrame:
         """What lookups at each run find in the feature table, NULL features if nothing.
 

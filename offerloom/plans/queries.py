@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from offerloom.functions.timing import time_block, ts_lit
 from offerloom.operators import (
     budget,
+    champion,
     drift,
     evaluation,
     features,
@@ -460,14 +461,58 @@ def feature_selection(p: Programme) -> DataFrame:
     return screening.select_features(_importance(test), screening.correlation_pairs(held, features.CANDIDATES))
 
 
+def _is_probability() -> F.Column:
+    return F.coalesce(F.col("p_accept").between(0, 1), F.lit(False)).alias("is_probability")
+
+
 @_query
 def propensity_gbt(p: Programme) -> DataFrame:
-    rows = staged(p.training_set, "training")
-    split = evaluation.stratified_split(rows, "offer_id", "accepted")
-    fitted = model.fit_propensity(
-        split.filter(~F.col("is_test")), rounds=st.MODEL_ROUNDS, depth=st.MODEL_DEPTH
+    """Held-out offers scored by the full-size model: each has a probability, and together they beat chance."""
+    fitted, _ = p.models.load(champion.CHALLENGER)
+    scored = staged(model.predict_proba(fitted, p.split_training_set.filter("is_test")), "held-out")
+    quality = evaluation.auc(scored, "p_accept", "accepted").select((F.col("auc") > 0.5).alias("beats_chance"))
+    return scored.join(quality).select("offer_id", "accepted", _is_probability(), "beats_chance")
+
+
+def _from_champion(p: Programme, scored: DataFrame) -> DataFrame:
+    """Whether the version in the rows is the one that the alias names, and no version is better."""
+    alias = p.models.aliases().filter(F.col("alias") == champion.CHAMPION)
+    best = F.max_by("version", F.struct("auc", "version")).alias("best")
+    named = alias.join(p.models.versions().agg(best)).select((F.col("version") == F.col("best")).alias("_sound"), F.col("version").alias("_named"))
+    return scored.join(named).withColumn("from_champion", F.col("_sound") & (F.col("model_version") == F.col("_named")))
+
+
+@_query
+def champion_batch(p: Programme) -> DataFrame:
+    """The scored grid of a run, by the champion: all that SQL can tell of its rows."""
+    scored = _from_champion(p, p.champion_batch(st.RUN_TS))
+    return scored.select(
+        KEY, "offer_type", "level", "cost", *features.FEATURES, "scored_at", _is_probability(), "from_champion"
     )
-    return model.predict_proba(fitted, split.filter("is_test")).select("offer_id", "accepted", "p_accept")
+
+
+@_query
+def champion_base(p: Programme) -> DataFrame:
+    """Customers with how many offers the champion scored, and whether their best score is one of them."""
+    scored = _from_champion(p, p.champion_scored)
+    best = scored.groupBy(KEY, "segment", "redemptions_60d", "redemptions_total", "points_accumulated", "recency_today").agg(
+        F.count("*").alias("offers"),
+        F.max("p_accept").alias("p_accept"),
+        F.bool_and("from_champion").alias("from_champion"),
+    )
+    return best.withColumn("is_probability", _is_probability()).drop("p_accept")
+
+
+@_query
+def model_importance(p: Programme) -> DataFrame:
+    """Permutation importance of the champion's inputs on held-out offers."""
+    fitted, _ = p.models.load(champion.CHAMPION)
+    test = p.split_training_set.filter("is_test")
+
+    def score(frame: DataFrame) -> DataFrame:
+        return model.predict_proba(fitted, frame).withColumnRenamed("p_accept", "p")
+
+    return evaluation.permutation_importance(test, "offer_id", [*features.FEATURES, "level"], score, "accepted")
 
 
 def _version_runs(p: Programme) -> DataFrame:
@@ -512,24 +557,24 @@ def catalog_upsert(p: Programme) -> DataFrame:
 
 @_query
 def budget_update(p: Programme) -> DataFrame:
-    """Customer budgets changed by later spend: some to NULL, some for unknown customers."""
+    """Customer budgets changed by all spend so far: some to NULL, some for unknown customers."""
     target = p.base.select(KEY, "segment", F.col("points_accumulated").alias("budget"))
-    later = p.redemptions.filter(F.col(TS) > p.now).groupBy(KEY).agg(F.sum("points").alias("spent"))
-    known = later.select(KEY, F.when(F.col("spent") <= 400, F.col("spent")).alias("budget"))
+    spent = p.past_redemptions.groupBy(KEY).agg(F.sum("points").alias("spent"))
+    known = spent.select(KEY, F.when(F.col("spent") <= st.SPEND_LIMIT, F.col("spent")).alias("budget"))
     unknown = p.customer_ids.select(
         (F.col(KEY) + F.lit(st.UNKNOWN_SHIFT)).alias(KEY), F.lit(1).cast("long").alias("budget")
     )
     return maintenance.update_by_key(target, known.unionByName(unknown), [KEY], ["budget"])
 
 
-def _member_changes(p: Programme) -> DataFrame:
-    """Changes of the list of recently active members between two dates."""
+def _members(p: Programme, at: str) -> DataFrame:
+    got = features.features_at(p.facts, p.customer_ids, ts_lit(at))
+    return got.select(KEY, "redemptions_total", "points_accumulated", "missions_30d")
 
-    def members(at: str) -> DataFrame:
-        got = features.features_at(p.facts, p.customer_ids, ts_lit(at)).filter("redemptions_90d > 0")
-        return got.select(KEY, "redemptions_total", "points_accumulated", "missions_30d")
 
-    return maintenance.change_feed(members(st.EARLIER), members(AS_OF), [KEY])
+def _member_changes(p: Programme) -> DataFrame:
+    """Changes of all members' figures between two dates."""
+    return maintenance.change_feed(_members(p, st.EARLIER), _members(p, AS_OF), [KEY])
 
 
 @_query
@@ -537,9 +582,45 @@ def change_feed(p: Programme) -> DataFrame:
     return _member_changes(p)
 
 
+@_query
+def change_feed_by_digest(p: Programme) -> DataFrame:
+    """The same changes from two stored versions, of which only buckets that differ are read."""
+    path = scratch_path(p.spark, "members")
+    old, new = (maintenance.write_bucketed(_members(p, at), path, [KEY]) for at in (st.EARLIER, AS_OF))
+    return maintenance.versioned_change_feed(p.spark, path, old, new, [KEY])
+
+
 @_query
 def change_audit(p: Programme) -> DataFrame:
-    return maintenance.audit(_member_changes(p), st.AUDIT_USER, st.AUDIT_ACTION)
+    """Audit rows of two publications, the first one written twice; each is there once."""
+    path = scratch_path(p.spark, "audit")
+    changes = staged(_member_changes(p), "changes")
+    for at in (st.EARLIER, AS_OF, st.EARLIER):
+        maintenance.append_audit(maintenance.audit(changes, st.AUDIT_USER, st.AUDIT_ACTION, at), path)
+    return maintenance.read_audit(p.spark, path)
+
+
+@_query
+def feature_table_stored(p: Programme) -> DataFrame:
+    """The feature table written as two versions and read back; a table with repeated keys is refused between them."""
+    path = scratch_path(p.spark, "feature-table")
+    rows = staged(p.feature_table, "features")
+    maintenance.write_feature_table(rows.filter(F.col(TS) < ts_lit(st.EARLIER)), path, [KEY, TS], TS)
+    try:
+        maintenance.write_feature_table(rows.select(KEY, TS), path, [KEY])
+    except ValueError:
+        maintenance.write_feature_table(rows, path, [KEY, TS], TS)
+    return maintenance.load(p.spark, path).drop(maintenance.FEATURE_MONTH)
+
+
+@_query
+def offers_of_stored_controls(p: Programme) -> DataFrame:
+    """Final offers by control tables as stored, the rules in their second version."""
+    path = scratch_path(p.spark, "controls")
+    seed = controls.catalog_table(p.spark)
+    controls.store_controls(path, seed, p.budgets, p.rules.filter("priority < 30"))
+    controls.store_controls(path, seed, p.budgets, p.rules)
+    return final_offers(Programme(p.spark, p.folder, controls=path))
 
 
 @_query
@@ -564,11 +645,12 @@ def step_counts(p: Programme) -> DataFrame:
     return maintenance.step_counts(
         {
             "snapshots": p.feature_table,
-            "training_rows": p.offers,
+            "training_rows": p.training_set,
             "scored": p.scored,
             "customers": p.customer_scores,
             "final_offers": p.final_offers,
-        }
+        },
+        scratch_path(p.spark, "steps"),
     )
 
 
@@ -578,7 +660,7 @@ def snapshot_append(p: Programme) -> DataFrame:
     path = scratch_path(p.spark, "snapshot")
     for run_ts in (*st.SNAPSHOT_RUNS, st.SNAPSHOT_RUNS[0]):
         maintenance.append_snapshot(p.score_batch(run_ts), path)
-    return maintenance.read_snapshot(p.spark, path)
+    return maintenance.read_snapshot(p.spark, path).drop(maintenance.RUN_DATE)
 
 
 @_query
@@ -598,14 +680,16 @@ def fifo_lots(p: Programme) -> DataFrame:
 
 @_query
 def drift_profile(p: Programme) -> DataFrame:
-    return drift.drift_profile(p.score_batch(*st.DRIFT_RUNS), st.DRIFT_COLUMNS, "offer_type", "scored_at")
+    stored = maintenance.read_snapshot(p.spark, p.stored_snapshots(*st.DRIFT_RUNS))
+    return drift.drift_profile(stored, st.DRIFT_COLUMNS, "offer_type", "scored_at")
 
 
 @_query
 def drift_ks(p: Programme) -> DataFrame:
-    held = staged(p.score_batch(*st.DRIFT_RUNS), "snapshots")
-    first = F.col("scored_at") == ts_lit(st.DRIFT_RUNS[0])
-    return drift.drift_ks(held.filter(~first), held.filter(first), st.DRIFT_COLUMNS, "offer_type", "scored_at")
+    """Each side reads the folders of its own days from the stored runs."""
+    path = p.stored_snapshots(*st.DRIFT_RUNS)
+    days, baseline = (maintenance.read_snapshot(p.spark, path, part) for part in (st.DRIFT_RUNS[1:], st.DRIFT_RUNS[:1]))
+    return drift.drift_ks(days, baseline, st.DRIFT_COLUMNS, "offer_type", "scored_at")
 
 
 def _stream(df: DataFrame, name: str) -> DataFrame:
@@ -644,20 +728,42 @@ def published_features(p: Programme) -> DataFrame:
 
 @_query
 def streamed_scores(p: Programme) -> DataFrame:
-    target, checkpoint = scratch_path(p.spark, "scored"), scratch_path(p.spark, "progress")
-    current = staged(p.current_features, "published")
+    """Every offer as a request, scored with the features that a stream had published for its instant."""
+    rows = p.feature_table
+    target, versions = scratch_path(p.spark, "scored"), scratch_path(p.spark, "history")
+    publish.publish_history(
+        _stream(rows, "features"), [KEY], TS, versions, scratch_path(p.spark, "progress")
+    ).awaitTermination()
     publish.score_stream(
-        _stream(_requests(p), "requests"), current, p.catalog, target, checkpoint
+        _stream(p.offers, "requests"),
+        lambda spark: publish.history(spark, versions, rows.schema, [KEY], TS).read(),
+        KEY,
+        "offer_ts",
+        TS,
+        p.catalog,
+        target,
+        scratch_path(p.spark, "progress"),
     ).awaitTermination()
-    return p.spark.read.parquet(target).select(KEY, "offer_type", "level", "p_accept", "cost")
+    return p.spark.read.parquet(target).select("offer_id", KEY, "offer_ts", "offer_type", "level", "p_accept", "cost")
 
 
-@_query
-def streamed_drift(p: Programme) -> DataFrame:
-    rows = p.score_batch(*st.DRIFT_RUNS).select("offer_type", "p_accept", "scored_at")
-    target, checkpoint = scratch_path(p.spark, "drift"), scratch_path(p.spark, "progress")
+def _streamed_counts(p: Programme) -> DataFrame:
+    """Value counts that a stream of scored runs has left behind."""
+    rows = p.score_batch(*st.DRIFT_RUNS).select("offer_type", *st.DRIFT_COLUMNS, "scored_at")
+    target = scratch_path(p.spark, "drift")
     publish.drift_stream(
-        _stream(rows, "snapshots"), "p_accept", "offer_type", "scored_at", target, checkpoint
+        _stream(rows, "snapshots"), st.DRIFT_COLUMNS, "offer_type", "scored_at", target, scratch_path(p.spark, "progress")
     ).awaitTermination()
-    emitted = p.spark.read.parquet(target).drop("batch")
-    return publish.newest(emitted, ["window_start", "offer_type"], ["emitted"]).drop("emitted")
+    return publish.drift_state(p.spark, target, "offer_type").read()
+
+
+@_query
+def streamed_drift(p: Programme) -> DataFrame:
+    return drift.profile_of_counts(_streamed_counts(p), "offer_type")
+
+
+@_query
+def streamed_ks(p: Programme) -> DataFrame:
+    counts = staged(_streamed_counts(p), "counts")
+    first = F.col("window_start") == ts_lit(st.DRIFT_RUNS[0])
+    return drift.ks_of_counts(counts.filter(~first), counts.filter(first), "offer_type")

@@ -25,9 +25,9 @@ OFFER_VALUES = {"cashback": 400.0, "bonus": 350.0, "discount": 200.0, "mission":
 EARLIER = "2001-05-01 00:00:00"
 CATALOG_CUT = "1999-01-01 00:00:00"
 UNKNOWN_SHIFT = 1_000_000_000
+SPEND_LIMIT = 2000
 AUDIT_USER = "operator"
 AUDIT_ACTION = "publish_members"
 RECENT = 3
-# Rounds and depth of the registered model; the full size is a parameter away.
-MODEL_ROUNDS = 20
-MODEL_DEPTH = 4
+# Versions that a training run registers: a small one to begin with, and the full size.
+MODEL_SETTINGS = ({"rounds": 20, "depth": 4}, {})

@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def local_session(cpus: int | str = "*", memory: str = "8g", app: str = "offerloom") -> SparkSession:
@@ -45,16 +44,6 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
-def bounded(df: DataFrame, rows: int = 10_000) -> DataFrame:
-    """Mark the side of a join for broadcast if it really is small.
-
-    For sides that have one row per segment, stratum or day: joined the usual way
-    they would send each of those few keys to a single task. Beyond `rows` the
-    side is returned as it is and Spark picks the join.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -6,10 +6,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from offerloom.operators import drift, evaluation, ledger, model, promotion, screening
+from offerloom.operators import champion, drift, evaluation, features, ledger, model, pit, promotion, scoring, screening
 from offerloom.plans import settings as st
 from offerloom.plans.programme import Programme
-from offerloom.session import scratch_path
+from offerloom.session import scratch_path, staged
 from offerloom.sources import maintenance as m
 from offerloom.streaming import publish
 
@@ -24,14 +24,21 @@ def test_save_counts_while_writing(spark):
     path = scratch_path(spark, "save")
     assert m.save(spark.range(7), path) == 7
     assert m.save(spark.range(3).withColumn("x", F.lit(1)), path) == 3
-    assert spark.read.parquet(path).columns == ["id", "x"]
+    assert m.load(spark, path).columns == ["id", "x"]
 
 
 def test_feature_table_refuses_duplicate_keys(spark):
     df = spark.createDataFrame([(1, 1), (1, 2)], "k long, t long")
     assert m.write_feature_table(df, scratch_path(spark, "ft"), ["k", "t"]) == 2
+    path = scratch_path(spark, "ft")
+    dated = spark.createDataFrame([(1, T0), (1, T0 + timedelta(days=40))], "k long, t timestamp_ntz")
+    assert m.write_feature_table(dated, path, ["k", "t"], "t") == 2
     with pytest.raises(ValueError):
-        m.write_feature_table(df, scratch_path(spark, "ft"), ["k"])
+        m.write_feature_table(df, path, ["k"])
+    kept = m.load(spark, path)
+    assert rows(kept.select("k", "t")) == rows(dated)
+    one_month = kept.filter("feature_month = '2024-01'")
+    assert "PartitionFilters: [isnotnull(feature_month" in one_month._jdf.queryExecution().toString() and one_month.count() == 1
 
 
 def test_snapshot_append_is_idempotent_per_run(spark):
@@ -129,8 +136,6 @@ def test_ks_of_known_samples(spark):
 
 
 def test_model_learns_and_accepts_an_unknown_type(spark, folder):
-    from offerloom.session import staged
-
     data = staged(Programme(spark, folder).training_set, "training")
     split = evaluation.stratified_split(data, "offer_id", "accepted")
     train, test = split.filter(~F.col("is_test")), split.filter("is_test")
@@ -166,15 +171,132 @@ def test_published_rows_survive_late_data_and_reruns(spark):
     assert rows(publish.read_published(spark, target, schema, ["user_id"], ["ts"])) == got
 
 
-def test_daily_stream_equals_batch_over_several_batches(spark, folder):
-    snap = Programme(spark, folder).score_batch(*st.DRIFT_RUNS).select("offer_type", "p_accept", "scored_at")
+def test_drift_of_a_stream_in_any_order_equals_batch(spark, folder):
+    """Days arrive mixed and late, in many small batches; two levels of runs are merged."""
+    snap = Programme(spark, folder).score_batch(*st.DRIFT_RUNS).select("offer_type", *st.DRIFT_COLUMNS, "scored_at")
+    columns = st.DRIFT_COLUMNS
     source, target = scratch_path(spark, "snaps"), scratch_path(spark, "drift")
-    for run in st.DRIFT_RUNS:
-        snap.filter(F.col("scored_at") == F.lit(run).cast("timestamp_ntz")).repartition(3).write.mode("append").parquet(source)
-    stream = spark.readStream.schema(snap.schema).option("maxFilesPerTrigger", 2).parquet(source)
-    publish.drift_stream(
-        stream, "p_accept", "offer_type", "scored_at", target, scratch_path(spark, "progress"), delay="1000 days"
+    snap.withColumn("part", F.pmod(F.xxhash64(*snap.columns), F.lit(9))).repartition("part").drop("part").write.option(
+        "maxRecordsPerFile", 900
+    ).parquet(source)
+    stream = spark.readStream.schema(snap.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    publish.drift_stream(stream, columns, "offer_type", "scored_at", target, scratch_path(spark, "progress"), fan_out=3).awaitTermination()
+    state = publish.drift_state(spark, target, "offer_type", fan_out=3)
+    assert state.depth() < 7
+    counts = state.read()
+    assert rows(drift.profile_of_counts(counts, "offer_type")) == rows(drift.drift_profile(snap, columns, "offer_type", "scored_at"))
+    first = F.col("window_start") == F.lit(st.DRIFT_RUNS[0]).cast("timestamp_ntz")
+    day = F.col("scored_at") == F.lit(st.DRIFT_RUNS[0]).cast("timestamp_ntz")
+    want = drift.drift_ks(snap.filter(~day), snap.filter(day), columns, "offer_type", "scored_at")
+    assert rows(drift.ks_of_counts(counts.filter(~first), counts.filter(first), "offer_type")) == rows(want)
+
+
+def test_requests_out_of_order_meet_the_features_of_their_instants(spark, folder):
+    """Two feature batches, the later days first; requests in random order and small batches equal the batch lookup."""
+    p = Programme(spark, folder)
+    table = staged(p.feature_table, "features")
+    source, versions = scratch_path(spark, "features"), scratch_path(spark, "history")
+    cut = F.lit("1999-01-01").cast("timestamp_ntz")
+    checkpoint = scratch_path(spark, "progress")
+    stream = lambda: spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    for part in (table.filter(F.col("ts") >= cut), table.filter(F.col("ts") < cut)):
+        part.repartition(2).write.mode("append").parquet(source)
+        publish.publish_history(stream(), ["customer_id"], "ts", versions, checkpoint, fan_out=2).awaitTermination()
+    requests, target = scratch_path(spark, "requests"), scratch_path(spark, "scored")
+    p.offers.orderBy(F.md5(F.col("offer_id").cast("string"))).repartition(3).write.parquet(requests)
+    asked = spark.readStream.schema(p.offers.schema).option("maxFilesPerTrigger", 1).parquet(requests)
+    read = lambda s: publish.history(s, versions, table.schema, ["customer_id"], "ts").read()
+    publish.score_stream(
+        asked, read, "customer_id", "offer_ts", "ts", p.catalog, target, scratch_path(spark, "progress")
     ).awaitTermination()
-    emitted = publish.newest(spark.read.parquet(target).drop("batch"), ["window_start", "offer_type"], ["emitted"])
-    batch = drift.drift_profile(snap, ["p_accept"], "offer_type", "scored_at").drop("column")
-    assert rows(emitted.select(*batch.columns)) == rows(batch)
+    got = spark.read.parquet(target)
+    want = pit.pit_lookup(p.offers, table, "customer_id", "offer_ts", "ts", features.FEATURES)
+    want = features.fill_defaults(want, features.FEATURE_DEFAULTS).withColumn("p_accept", scoring.feature_score())
+    assert rows(got.select("offer_id", "p_accept")) == rows(want.select("offer_id", "p_accept"))
+
+
+def test_history_keeps_the_newest_row_before_its_horizon(spark):
+    df = feature_rows(spark)
+    runs = publish.history(spark, scratch_path(spark, "history"), df.schema, ["user_id"], "ts", str(T0 + timedelta(hours=20)), fan_out=2)
+    for part in (F.col("ts") < F.lit(T0 + timedelta(hours=10)), F.col("ts") >= F.lit(T0 + timedelta(hours=10))):
+        runs.append(df.filter(part))
+    kept = runs.read()
+    assert kept.count() == 20 * (10 + 1) and kept.agg(F.min("ts")).first()[0] == T0 + timedelta(hours=19)
+
+
+def test_digests_find_the_buckets_that_differ(spark):
+    path = scratch_path(spark, "bucketed")
+    old = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"), F.lit(None).cast("long").alias("w"))
+    new = old.filter("k <> 11").withColumn("v", F.when(F.col("k") == 500, 99).otherwise(F.col("v")))
+    # the same hash without the places of nulls
+    new = new.withColumns({"w": F.when(F.col("k") == 77, F.col("v")), "v": F.when(F.col("k") != 77, F.col("v"))})
+    new = new.unionByName(spark.createDataFrame([(5000, 1, None)], new.schema))
+    a, b = (m.write_bucketed(df.repartition(3), path, ["k"]) for df in (old, new))
+    changed = m.changed_buckets(spark, path, a, b)
+    assert 0 < len(changed) <= 4
+    feed = m.versioned_change_feed(spark, path, a, b, ["k"])
+    assert rows(feed.na.fill(-1)) == rows(m.change_feed(old, new, ["k"]).na.fill(-1))
+    scans = [line for line in feed._jdf.queryExecution().toString().splitlines() if "PartitionFilters: [bucket" in line]
+    assert scans and all("bucket#" in line for line in scans)
+    read = m.load(spark, path, a).filter(F.col("bucket").isin(*changed)).count()
+    assert read < 1000 * 3 * len(changed) / 64
+    c = m.write_bucketed(new.orderBy(F.desc("k")), path, ["k"])
+    assert m.changed_buckets(spark, path, b, c) == []
+    assert m.versioned_change_feed(spark, path, b, c, ["k"]).count() == 0
+
+
+def test_audit_is_appended_once_an_instant(spark):
+    path = scratch_path(spark, "audit")
+    feed = spark.createDataFrame([("insert", 1), ("insert", 2), ("delete", 3)], "change string, k long")
+    for at in ("2024-01-01 10:00:00", "2024-01-01 11:00:00", "2024-01-01 10:00:00"):
+        m.append_audit(m.audit(feed, "u", "a", at), path)
+    got = m.read_audit(spark, path)
+    assert got.count() == 4 and got.select("audited_at").distinct().count() == 2
+
+
+def test_importance_of_constant_and_useless_columns(spark):
+    rng = random.Random(2)
+    data = [(i, float(rng.random()), 5.0, float(rng.random()), 0) for i in range(501)]
+    data = [(i, x, c, u, int(x > 0.5)) for i, x, c, u, _ in data]
+    df = spark.createDataFrame(data, "id long, x double, c double, u double, y int")
+    as_column = evaluation.permutation_importance(df, "id", ["x", "c", "u"], F.col("x") + F.col("c"), "y")
+    as_model = evaluation.permutation_importance(df, "id", ["x", "c", "u"], lambda f: f.withColumn("p", F.col("x") + F.col("c")), "y")
+    got = {r["column"]: r["importance"] for r in as_column.collect()}
+    assert got["c"] == got["u"] == 0.0 and got["x"] > 0.3
+    assert {r["column"]: r["importance"] for r in as_model.collect()} == got
+    plan = as_column._jdf.queryExecution().toString()
+    assert "Sort [column" not in plan
+
+
+def test_deals_are_bijections():
+    dealt = evaluation.deals(["a", "b"], 3)
+    assert len({p for _, _, p, _ in dealt}) == 6
+    for n in (1, 2, 3, 10, 97, 360):
+        for _, _, prime, shift in dealt:
+            assert sorted((prime * j + shift) % n for j in range(n)) == list(range(n))
+
+
+def test_the_gate_decides_which_model_scores(spark, folder):
+    data = staged(Programme(spark, folder).training_set, "training")
+    split = staged(evaluation.stratified_split(data, "offer_id", "accepted"), "split")
+    train, test = split.filter(~F.col("is_test")), split.filter("is_test")
+    store = champion.ModelStore(spark, scratch_path(spark, "models"))
+    with pytest.raises(LookupError):
+        store.load()
+    fitted = [model.fit_propensity(train, rounds=r, depth=2) for r in (1, 3, 2)]
+    for one, auc in zip(fitted, (0.6, 0.7, 0.65)):
+        store.register(one, {"auc": auc, "accuracy": 0.5, "n": 10}, "2024-01-01 00:00:00")
+    assert {(r["alias"], r["version"]) for r in store.aliases().collect()} == {("champion", 2), ("challenger", 3)}
+    loaded, version = store.load()
+    assert version == 2
+    assert rows(model.predict_proba(loaded, test).select("offer_id", "p_accept")) == rows(
+        model.predict_proba(fitted[1], test).select("offer_id", "p_accept")
+    )
+    scored = champion.score_with_champion(store, test)
+    assert scored.select("model_version").distinct().collect() == [(2,)]
+    assert dict(scored.dtypes)["redemptions_total"] == dict(test.dtypes)["redemptions_total"]
+
+
+def test_counts_are_seen_by_the_writers(spark):
+    got = m.step_counts({"a": spark.range(5), "b": spark.range(0)}, scratch_path(spark, "steps"))
+    assert rows(got) == [("a", 5), ("b", 0)]

@@ -1,14 +1,19 @@
-"""First-in-first-out use of credit lots by redemptions (expiry is not considered)."""
+"""First-in-first-out use of credit lots by redemptions, with and without expiry."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from offerloom.functions.scalars import value_block
 from offerloom.functions.timing import time_block
-from offerloom.operators.scan import prefix_scan
+from offerloom.operators.scan import prefix_scan, ranged
 from offerloom.operators.timeline import BLOCK_HOURS, KEY
+from offerloom.session import staged
 
 
 def _ends(df: DataFrame, ts: str, ident: str, block_hours: int) -> DataFrame:
@@ -19,7 +24,7 @@ def _ends(df: DataFrame, ts: str, ident: str, block_hours: int) -> DataFrame:
 
 
 def fifo_lots(lots: DataFrame, spends: DataFrame, block_hours: int = BLOCK_HOURS, per_octave: int = 256) -> DataFrame:
-    """Points of each lot used by each spend.
+    """Points of each lot used by each spend, whatever the times of credit and expiry.
 
     Lots (`lot_id`, `ts`, `points`) and spends (`spend_id`, `ts`, `points`) tile the
     same line of points. Between two neighbouring ends lies a piece of exactly one
@@ -56,3 +61,147 @@ def fifo_lots(lots: DataFrame, spends: DataFrame, block_hours: int = BLOCK_HOURS
         "spend.spend_id",
         (F.col("position") - F.coalesce("start", F.lit(0))).alias("points_used"),
     )
+
+
+# Order of what happens at one instant: lots are there, then lots expire, then points are spent.
+CREDIT, EXPIRY, SPEND = 0, 1, 2
+EVENT = [KEY, "at", "kind", "ident"]
+NEVER = (1 << 62) - 1
+
+
+def _lot_line(lots: DataFrame, block_hours: int) -> DataFrame:
+    """Lots with `position`, where each ends on the customer's line of lots, and the expiry that counts.
+
+    Points leave the line from its front, so a lot's expiry counts as no earlier than
+    those of the lots before it; a lot without expiry keeps all behind it.
+    """
+    far = F.lit("9999-12-31").cast("timestamp_ntz")
+    cut = lots.filter("points > 0").withColumns(
+        {"block": time_block(F.col("ts"), block_hours), "ends": F.coalesce("expiry_ts", far)}
+    )
+    line = prefix_scan(cut, [KEY], ["block"], ["ts", "lot_id"], {"position": ("sum", "points"), "ends": ("max", "ends")})
+    return line.select(KEY, "lot_id", "ts", "position", F.when(F.col("ends") < far, F.col("ends")).alias("ends"))
+
+
+def _compose(clamp: tuple[int, int, int], kind: int, amount: int, credited: int) -> tuple[int, int, int]:
+    """A clamp p -> min(high, max(low, p + add)) followed by an event."""
+    add, low, high = clamp
+    if kind == EXPIRY:
+        return add, max(low, amount), max(high, amount)
+    return add + amount, min(low + amount, credited), min(high + amount, credited)
+
+
+def _events(batch: pa.RecordBatch) -> Iterator[tuple]:
+    return zip(*(batch.column(c).to_pylist() for c in ("block", KEY, "kind", "amount", "credited")))
+
+
+def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The clamps of the first and the last customer of each block; the others begin and end inside."""
+    block = customer = None
+    clamp, first = (0, 0, NEVER), True
+    out: list[tuple] = []
+    for batch in batches:
+        for b, c, kind, amount, credited in _events(batch):
+            if b != block or c != customer:
+                if block is not None and (first or b != block):
+                    out.append((block, first, customer, *clamp))
+                first = b != block
+                block, customer, clamp = b, c, (0, 0, NEVER)
+            clamp = _compose(clamp, kind, amount, credited)
+    if block is not None:
+        out.append((block, first, customer, *clamp))
+    columns = list(zip(*out)) or [[]] * 6
+    types = [pa.int64(), pa.bool_(), *[pa.int64()] * 4]
+    yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], ["block", "first", "customer", "add", "low", "high"])
+
+
+def _starts(summaries: list[Row]) -> dict[int, int]:
+    """Where the first customer of each block stands when the block begins; the list has two rows a block at most."""
+    out, standing, before = {}, 0, None
+    for r in sorted(summaries, key=lambda r: (r["block"], not r["first"])):
+        start = standing if r["first"] and r["customer"] == before else 0
+        if r["first"]:
+            out[r["block"]] = start
+        standing, before = min(r["high"], max(r["low"], start + r["add"])), r["customer"]
+    return out
+
+
+def spent_from(lots: DataFrame, spends: DataFrame, block_hours: int = BLOCK_HOURS) -> DataFrame:
+    """(customer_id, spend_id, points, start, end): the stretch of the line of lots that each spend uses up.
+
+    The line's front moves to the end of each lot that expires and by each spend, but
+    not beyond what has been credited by then: what a spend lacks is not taken from
+    later lots. Each of these moves is a clamp, and clamps compose to clamps, so a
+    customer whose events fill many ranges is walked in all of them at once: a first
+    pass sums up each range, a second one starts from where the ranges before end.
+    """
+    line = _lot_line(lots, block_hours)
+    zero = F.lit(0).cast("long")
+    moves = (
+        line.select(KEY, F.col("ts").alias("at"), F.lit(CREDIT).alias("kind"), F.col("lot_id").alias("ident"), zero.alias("amount"), F.col("position").alias("credited"))
+        .unionByName(
+            line.filter("ends is not null").select(
+                KEY, F.greatest("ends", "ts").alias("at"), F.lit(EXPIRY).alias("kind"), F.col("lot_id").alias("ident"), F.col("position").alias("amount"), zero.alias("credited")
+            )
+        )
+        .unionByName(
+            spends.filter("points > 0").select(
+                KEY, F.col("ts").alias("at"), F.lit(SPEND).alias("kind"), F.col("spend_id").alias("ident"), F.col("points").cast("long").alias("amount"), zero.alias("credited")
+            )
+        )
+        .withColumn("time", time_block(F.col("at"), block_hours))
+    )
+    known = prefix_scan(moves, [KEY], ["time"], ["at", "kind", "ident"], {"credited": ("max", "credited")}).drop("time")
+    laid = ranged(known.filter(F.col("kind") != CREDIT), EVENT, "ledger")
+    dealt = laid.repartition("block").sortWithinPartitions("block", *EVENT)
+    schema = "block bigint, first boolean, customer bigint, add bigint, low bigint, high bigint"
+    starts = _starts(dealt.select("block", KEY, "kind", "amount", "credited").mapInArrow(_summaries, schema).collect())
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, customer, front = None, None, 0
+        for batch in batches:
+            begin, end = [], []
+            for b, c, kind, amount, credited in _events(batch):
+                if b != block:
+                    block, customer, front = b, c, starts[b]
+                elif c != customer:
+                    customer, front = c, 0
+                begin.append(front)
+                front = max(front, amount) if kind == EXPIRY else min(front + amount, credited)
+                end.append(front)
+            kept = batch.append_column("start", pa.array(begin, pa.int64())).append_column("end", pa.array(end, pa.int64()))
+            yield kept.filter(pc.equal(kept.column("kind"), SPEND)).select([KEY, "ident", "amount", "start", "end"])
+
+    ident = spends.schema["spend_id"].dataType.simpleString()
+    found = dealt.mapInArrow(walk, f"{KEY} bigint, ident {ident}, amount bigint, start bigint, end bigint")
+    return found.withColumnsRenamed({"ident": "spend_id", "amount": "points"})
+
+
+def fifo_expiring(lots: DataFrame, spends: DataFrame, block_hours: int = BLOCK_HOURS, per_octave: int = 256) -> DataFrame:
+    """Points of each lot used by each spend: oldest lots first, none before its credit or from its expiry on.
+
+    Lots (`lot_id`, `ts`, `points`, `expiry_ts`) and the stretches of spends lie on one
+    line. Cut at all ends and starts, each piece has the nearest lot end at or after it,
+    and the nearest spend end if that spend has begun. Ids are of one type. Points are
+    positive; what a spend lacks has no row.
+    """
+    used = staged(spent_from(lots, spends, block_hours).filter("end > start"), "stretches")
+    line = _lot_line(lots, block_hours)
+    spend = F.struct(F.col("end").alias("position"), "spend_id", "start")
+    ends = (
+        line.select(KEY, "position", F.struct("position", "lot_id").alias("lot"))
+        .unionByName(used.select(KEY, F.col("end").alias("position"), spend.alias("spend")), allowMissingColumns=True)
+        .unionByName(used.select(KEY, F.col("start").alias("position")), allowMissingColumns=True)
+        .groupBy(KEY, "position")
+        .agg(F.max("lot").alias("lot"), F.max("spend").alias("spend"))
+        .withColumn("piece_block", value_block(F.col("position"), per_octave))
+    )
+    begun = prefix_scan(
+        ends, [KEY], ["piece_block"], ["position"], {"before": ("max", "position")}, inclusive=False
+    ).withColumn("back", -F.col("piece_block"))
+    pieces = prefix_scan(
+        begun, [KEY], ["back"], [F.col("position").desc()], {"lot": ("min", "lot"), "spend": ("min", "spend")}
+    )
+    return pieces.filter("lot is not null and spend is not null and spend.start < position").select(
+        KEY, "lot.lot_id", "spend.spend_id", (F.col("position") - F.coalesce("before", F.lit(0))).alias("points_used")
+    )

@@ -331,6 +331,17 @@ CTES: dict[str, str] = {
     "window w as (partition by customer_id order by ts, lot_id rows unbounded preceding)",
     "spend_spans": "select *, (sum(points) over w - points)::bigint as lo, (sum(points) over w)::bigint as hi from spends "
     "window w as (partition by customer_id order by ts, spend_id rows unbounded preceding)",
+    "ledger_moves": """select customer_id, expiry_ts as moved_at, 1 as kind, lot_id as ident,
+          (sum(points) over (partition by customer_id order by ts, lot_id rows unbounded preceding))::bigint as amount, 0::bigint as credited
+          from (select l.*, l.ts + interval 365 day as expiry_ts from lots l)
+        union all select customer_id, ts, 2, spend_id, points,
+          coalesce((select sum(l.points) from lots l where l.customer_id = s.customer_id and l.ts <= s.ts), 0)::bigint from spends s""",
+    "ledger_order": "select *, row_number() over (partition by customer_id order by moved_at, kind, ident) as step from ledger_moves",
+    "ledger_walk": """select customer_id, step, kind, ident, amount, 0::bigint as start,
+          case kind when 1 then greatest(0, amount) else least(amount, credited) end as stop from ledger_order where step = 1
+        union all select o.customer_id, o.step, o.kind, o.ident, o.amount, w.stop,
+          case o.kind when 1 then greatest(w.stop, o.amount) else least(w.stop + o.amount, o.credited) end
+        from ledger_walk w join ledger_order o on o.customer_id = w.customer_id and o.step = w.step + 1""",
     "earlier_features": _features_at(f"timestamp '{EARLIER}'"),
     "old_members": """select customer_id, redemptions_total, points_accumulated, missions_30d from earlier_features""",
     "new_members": """select customer_id, redemptions_total, points_accumulated, missions_30d from now_features""",
@@ -496,6 +507,9 @@ FINAL: dict[str, str] = {
         group by 1, 2, 3""",
     "fifo_lots": """select l.customer_id, l.lot_id, s.spend_id, (least(l.hi, s.hi) - greatest(l.lo, s.lo))::bigint as points_used
         from lot_spans l join spend_spans s on l.customer_id = s.customer_id and l.lo < s.hi and s.lo < l.hi""",
+    "spend_cover": "select customer_id, ident as spend_id, amount as points, stop - start as covered from ledger_walk where kind = 2",
+    "fifo_expiring": """select l.customer_id, l.lot_id, s.ident as spend_id, (least(l.hi, s.stop) - greatest(l.lo, s.start))::bigint as points_used
+        from lot_spans l join ledger_walk s on l.customer_id = s.customer_id and s.kind = 2 and l.lo < s.stop and s.start < l.hi""",
     "published_features": """select user_id, ts, event_id, event_type, events_total, errors_total from user_features
         qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""",
     "streamed_scores": f"""select q.offer_id, q.customer_id, q.offer_ts, q.offer_type, q.level, {_p('q.offer_type', 'q.level', 'q.days_since_redemption', 'q.points_expiring_30d', 'q.missions_30d', 'q.customer_id')} as p_accept,
@@ -517,6 +531,8 @@ def statements() -> dict[str, str]:
     for key, final in FINAL.items():
         seen: set[str] = set()
         _reached(final, seen)
-        parts = [f"{name} as materialized ({CTES[name]})" for name in CTES if name in seen]
-        out[key] = ("with " + ",\n".join(parts) + "\n" if parts else "") + final
+        walked = "recursive " if "ledger_walk" in seen else ""
+        # a recursive part is not marked as materialized
+        parts = [f"{name} as {'' if name == 'ledger_walk' else 'materialized '}({CTES[name]})" for name in CTES if name in seen]
+        out[key] = (f"with {walked}" + ",\n".join(parts) + "\n" if parts else "") + final
     return out

@@ -663,16 +663,31 @@ def snapshot_append(p: Programme) -> DataFrame:
     return maintenance.read_snapshot(p.spark, path).drop(maintenance.RUN_DATE)
 
 
-@_query
-def fifo_lots(p: Programme) -> DataFrame:
-    def named(df: DataFrame, ts: str, line: str, out: str) -> DataFrame:
+def _lots_and_spends(p: Programme) -> tuple[DataFrame, DataFrame]:
+    def named(df: DataFrame, ts: str, line: str, out: str, *more: F.Column) -> DataFrame:
         day = F.date_format(ts, "yyyyMMdd")
         ident = F.concat_ws("-", F.col("order_id").cast("string"), F.col(line).cast("string"), day)
-        return df.groupBy(KEY, ident.alias(out), F.col(ts).alias(TS)).agg(F.sum("points").alias("points"))
+        return df.groupBy(KEY, ident.alias(out), F.col(ts).alias(TS)).agg(F.sum("points").alias("points"), *more)
+
+    lots = named(p.credits, "credit_ts", "line", "lot_id", F.max("expiry_ts").alias("expiry_ts"))
+    return lots, named(p.redemptions, TS, "category", "spend_id")
+
+
+@_query
+def fifo_lots(p: Programme) -> DataFrame:
+    return ledger.fifo_lots(*_lots_and_spends(p))
+
+
+@_query
+def fifo_expiring(p: Programme) -> DataFrame:
+    return ledger.fifo_expiring(*_lots_and_spends(p))
+
 
-    lots = named(p.credits, "credit_ts", "line", "lot_id")
-    spends = named(p.redemptions, TS, "category", "spend_id")
-    return ledger.fifo_lots(lots, spends)
+@_query
+def spend_cover(p: Programme) -> DataFrame:
+    """How much of each spend was covered by points that were there."""
+    used = ledger.spent_from(*_lots_and_spends(p))
+    return used.select(KEY, "spend_id", "points", (F.col("end") - F.greatest("start", F.lit(0))).alias("covered"))
 
 
 # --- drift and streams ------------------------------------------------------

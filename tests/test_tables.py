@@ -300,3 +300,74 @@ def test_the_gate_decides_which_model_scores(spark, folder):
 def test_counts_are_seen_by_the_writers(spark):
     got = m.step_counts({"a": spark.range(5), "b": spark.range(0)}, scratch_path(spark, "steps"))
     assert rows(got) == [("a", 5), ("b", 0)]
+
+
+def plain_ledger(lots, spends):
+    """Used (customer, lot, spend, points) by a loop over events; oldest lots first."""
+    want = set()
+    for c in {r[0] for r in lots + spends}:
+        own = sorted((r for r in lots if r[0] == c), key=lambda r: (r[2], r[1]))
+        events, ends = [], T0
+        for k, (_, lot, ts, _, expiry) in enumerate(own):
+            events.append((ts, 0, lot, k))
+            # a lot does not expire before older ones
+            ends = None if expiry is None or ends is None else max(ends, expiry)
+            if ends is not None:
+                events.append((max(ends, ts), 1, lot, k))
+        events += [(ts, 2, s, points) for cc, s, ts, points in spends if cc == c]
+        there, left = [], {}
+        for _, kind, ident, x in sorted(events):
+            if kind == 0:
+                there.append(x)
+                left[x] = own[x][3]
+            elif kind == 1:
+                left[x] = 0
+            else:
+                for k in sorted(there):
+                    used = min(x, left[k])
+                    if used:
+                        want.add((c, own[k][1], ident, used))
+                        left[k] -= used
+                        x -= used
+    return want
+
+
+@pytest.mark.parametrize("partitions", [2, 40])
+def test_expiring_lots_against_a_loop(spark, partitions):
+    """Overdrafts, lots without expiry, expiries out of order, one hot customer over many ranges."""
+    rng = random.Random(partitions)
+    lots, spends = [], []
+    for c in range(14):
+        n = 700 if c == 5 else rng.randint(0, 14)
+        for i in range(n):
+            ts = T0 + timedelta(hours=rng.randrange(3000))
+            expiry = None if rng.random() < (0.001 if c == 5 else 0.1) else ts + timedelta(hours=rng.choice([0, 50, 200, 200, 900]))
+            lots.append((c, f"l{i:03d}", ts, rng.randrange(1, 60), expiry))
+        spends += [(c, f"s{i:03d}", T0 + timedelta(hours=rng.randrange(3300)), rng.randrange(1, 60)) for i in range(n + 2)]
+    a = spark.createDataFrame(lots, "customer_id long, lot_id string, ts timestamp_ntz, points long, expiry_ts timestamp_ntz")
+    b = spark.createDataFrame(spends, "customer_id long, spend_id string, ts timestamp_ntz, points long")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = ledger.fifo_expiring(a, b, 24, 8)
+        assert {tuple(r) for r in got.select("customer_id", "lot_id", "spend_id", "points_used").collect()} == plain_ledger(lots, spends)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_clamps_compose():
+    rng = random.Random(1)
+    for _ in range(300):
+        clamp, credited, events = (0, 0, ledger.NEVER), 0, []
+        for _ in range(rng.randint(0, 8)):
+            kind = rng.choice([ledger.EXPIRY, ledger.SPEND])
+            credited += rng.randrange(9)
+            events.append((kind, rng.randrange(credited + 1) if kind == ledger.EXPIRY else rng.randrange(9), credited))
+            clamp = ledger._compose(clamp, *events[-1])
+        for p in range(12):
+            front = p
+            for kind, amount, credited in events:
+                front = max(front, amount) if kind == ledger.EXPIRY else min(front + amount, credited)
+            assert front == min(clamp[2], max(clamp[1], p + clamp[0]))

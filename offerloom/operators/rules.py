@@ -81,7 +81,11 @@ def compile_rules(rules: Sequence[Row]) -> Column:
 
 
 def match_rules(customers: DataFrame, rules: DataFrame) -> DataFrame:
-    """Rule, action and level of each customer; needs `score_max` and the base columns."""
+    """Rule, action and level of each customer; needs `score_max` and the base columns.
+
+    The rules become one expression, which suits the short lists that people edit;
+    `rule_index.match_rules_indexed` takes lists of any length.
+    """
     won = compile_rules(control_rows(active_rules(rules)))
     return customers.withColumn("won", won).select(*customers.columns, "won.*")
 
@@ -112,7 +116,9 @@ def resolve_action(matched: DataFrame, catalog: Sequence[Offer], keys: Sequence[
 
 
 def parsed_conditions(rules: DataFrame) -> DataFrame:
-    return rules.withColumn("parsed", F.from_json("conditions", CONDITION_TYPE))
+    """Rules with their conditions as structs, and which keys each condition has."""
+    keys = F.transform(F.from_json("conditions", "array<map<string,string>>"), F.map_keys)
+    return rules.withColumns({"parsed": F.from_json("conditions", CONDITION_TYPE), "keys": keys})
 
 
 def rules_text(rules: DataFrame) -> DataFrame:
@@ -120,16 +126,19 @@ def rules_text(rules: DataFrame) -> DataFrame:
     one = lambda c: F.concat_ws(" ", c["field"], c["op"], c["value"])
     text = F.array_join(F.transform("parsed", one), " and ")
     shown = F.when(F.size("parsed") > 0, text).otherwise("any customer")
-    return parsed_conditions(rules).withColumn("condition_text", shown).drop("parsed")
+    return parsed_conditions(rules).withColumn("condition_text", shown).drop("parsed", "keys")
 
 
 def rule_violations(rules: DataFrame) -> DataFrame:
     """One row per rule and problem that would keep the rule from being used."""
     known = F.array(*[F.lit(f) for f in FIELDS])
+    without = lambda key: listed & F.coalesce(F.exists("keys", lambda k: ~F.array_contains(k, key)), F.lit(False))
     empty = F.trim(F.coalesce("conditions", F.lit(""))) == ""
     listed = F.col("conditions").rlike(r"(?s)^\s*\[.*\]\s*$")
     checks = {
         "conditions are not a JSON list": ~empty & (F.col("parsed").isNull() | ~listed),
+        "field is missing": listed & F.coalesce(F.exists("parsed", lambda c: c["field"].isNull()), F.lit(False)),
+        "value is missing": without("value"),
         "unknown field": F.coalesce(F.exists("parsed", lambda c: ~F.array_contains(known, c["field"])), F.lit(False)),
         "unknown operator": listed
         & F.coalesce(F.exists("parsed", lambda c: ~F.coalesce(c["op"].isin(*OPERATORS), F.lit(False))), F.lit(False)),

@@ -313,6 +313,8 @@ CTES: dict[str, str] = {
     "gate": """select *, max(auc) over (partition by model order by version rows between unbounded preceding and 1 preceding)
         as champion_auc_before from version_runs""",
     "verdicts": """select *, auc is not null and auc >= coalesce(champion_auc_before, -1) as promoted from gate""",
+    "score_rules": """select *, row_number() over (order by n desc, segment, score_max) as id
+        from (select segment, score_max, count(*) as n, max(redemptions_60d) as r from cust_scores group by all)""",
     "drafts_raw": """select c.market, s.segment, count(*) as n, round(avg(s.score_max), 2) as threshold
         from cust_scores s join customers c using (customer_id) group by all""",
     "drafts": f"""select (row_number() over (order by segment, market))::int as id,
@@ -426,6 +428,11 @@ FINAL: dict[str, str] = {
     "score_requests": f"""select q.customer_id, q.offer_type, q.level, {_p('q.offer_type', 'q.level', 'b.days_since_redemption', 'b.points_expiring_30d', 'b.missions_30d', 'q.customer_id')} as p_accept,
         (k.base_cost * q.level)::int as cost from requests q join base b using (customer_id) join catalog k using (offer_type)""",
     "rule_match": "select customer_id, segment, score_max, rule, action, action_level from matched join actions using (rule)",
+    "rule_match_indexed": """select c.customer_id, c.segment, c.score_max,
+        coalesce('score-' || min(r.id)::varchar, 'no_rule') as rule, case when min(r.id) is null then 'no_offer' else 'best_ml' end as action,
+        coalesce(min(r.id) % 3 + 1, 1)::int as action_level
+        from cust_scores c left join score_rules r on r.segment = c.segment and c.score_max >= r.score_max and c.redemptions_60d <= r.r
+        group by c.customer_id, c.segment, c.score_max""",
     "decisions": "select customer_id, segment, rule, offer_type, level, p_accept, cost from decisions",
     "running_cost": "select customer_id, segment, cost, running_cost from final_offers",
     "final_offers": "select customer_id, segment, rule, final_offer, offer_type, level, p_accept, cost, eligible from final_offers",

@@ -18,6 +18,7 @@ from offerloom.operators import (
     model,
     pit,
     promotion,
+    rule_index,
     rules,
     scenario,
     scoring,
@@ -277,6 +278,39 @@ def rule_match(p: Programme) -> DataFrame:
     return p.matched.select(KEY, "segment", "score_max", "rule", "action", "action_level")
 
 
+def _market_rules(p: Programme) -> DataFrame:
+    """A long list: for each segment and score of the base one rule, the most frequent score first."""
+    levels = p.customer_scores.groupBy("segment", "score_max").agg(F.count("*").alias("n"), F.max("redemptions_60d").alias("r"))
+    conditions = F.concat(
+        F.lit('[{"field":"segment","op":"=","value":"'),
+        F.col("segment"),
+        F.lit('"},{"field":"score","op":">=","value":'),
+        F.col("score_max").cast("string"),
+        F.lit('},{"field":"redemptions_60d","op":"<=","value":'),
+        F.col("r").cast("string"),
+        F.lit("}]"),
+    )
+    order = [F.desc("n"), F.col("segment"), F.col("score_max")]
+    numbered = maintenance.replace_table(levels.withColumn("id", F.lit(0)), order)
+    return numbered.select(
+        "id",
+        F.col("id").alias("priority"),
+        F.concat_ws("-", F.lit("score"), "id").alias("name"),
+        F.lit(True).alias("active"),
+        conditions.alias("conditions"),
+        F.lit(BEST_ML).alias("action"),
+        (F.col("id") % 3 + 1).cast("int").alias("action_level"),
+    )
+
+
+@_query
+def rule_match_indexed(p: Programme) -> DataFrame:
+    """The first of as many rules as the base has scores, by bit sets of elementary intervals."""
+    customers = staged(p.customer_scores, "customers")
+    rule_list = staged(_market_rules(p), "rules")
+    return rule_index.match_rules_indexed(customers, rule_list).select(KEY, "segment", "score_max", "rule", "action", "action_level")
+
+
 @_query
 def decisions(p: Programme) -> DataFrame:
     return p.decisions

@@ -54,7 +54,7 @@ def test_refused_table_is_never_seen(spark, tmp_path):
     maintenance.write_feature_table(good, path, ["id", "ts"])
     with pytest.raises(ValueError):
         maintenance.write_feature_table(good.union(good), path, ["id", "ts"])
-    assert spark.read.parquet(path).count() == 2
+    assert maintenance.load(spark, path).count() == 2
 
 
 def test_many_candidates(spark):

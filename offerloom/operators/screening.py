@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from offerloom.sources.controls import control_rows
+from offerloom.session import staged
 
 # Thresholds of the selection.
 WEAK_BELOW = 0.001
@@ -57,30 +57,54 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def select_features(importance: DataFrame, correlations: DataFrame) -> DataFrame:
-    """Keep candidates from the most important down, unless weak or redundant.
+    """(place, candidate, importance, verdict): candidates by falling importance, kept unless weak or redundant.
 
-    Each verdict depends on the ones before it, over one row per candidate; the
-    importances are of that size and checked to be. Of the pairs, only redundant
-    ones leave Spark.
+    A candidate is redundant with the first kept one above it that it correlates with.
+    Candidates with none above them are kept, and those next to such a one are not; what
+    is left hangs together only through others that are left, and a recursive query settles
+    these one by one, so its depth is the length of such chains and not the number of
+    candidates. `importance` (column, importance) has a row per candidate column.
     """
+    spark = importance.sparkSession
+    by_weight = Window.orderBy(F.desc("importance"), F.asc("column"))  # a row per column of a table
+    ranked = staged(
+        importance.select(
+            F.row_number().over(by_weight).alias("place"),
+            F.col("column").alias("candidate"),
+            F.col("importance").cast("double").alias("importance"),
+            (F.col("importance") < WEAK_BELOW).alias("weak"),
+        ),
+        "ranked",
+    )
+    strong = ranked.filter("not weak").select("place", "candidate")
     close = correlations.filter(F.abs("correlation") > REDUNDANT_ABOVE)
-    ranked = sorted(control_rows(importance), key=lambda r: (-r["importance"], r["column"]))
-    related = {
-        frozenset((r["first"], r["second"])): abs(r["correlation"]) for r in close.collect()
-    }
-    kept: list[str] = []
-    verdicts = []
-    for place, row in enumerate(ranked, 1):
-        name, weight = row["column"], row["importance"]
-        twin = next((k for k in kept if related.get(frozenset((name, k)), 0.0) > REDUNDANT_ABOVE), None)
-        if weight < WEAK_BELOW:
-            verdict = "weak"
-        elif twin:
-            verdict = f"redundant with {twin}"
-        else:
-            verdict = "kept"
-            kept.append(name)
-        verdicts.append((place, name, float(weight), verdict))
-    return importance.sparkSession.createDataFrame(
-        verdicts, "place int, candidate string, importance double, verdict string"
+    one, other = (strong.select(F.col("place").alias(p), F.col("candidate").alias(c)) for p, c in (("p", "first"), ("q", "second")))
+    met = close.join(one, "first").join(other, "second")
+    above = staged(met.select(F.greatest("p", "q").alias("place"), F.least("p", "q").alias("above")).distinct(), "above")
+    free = strong.select("place").join(above.select("place"), "place", "left_anti")
+    settled = above.join(free.withColumnRenamed("place", "above"), "above", "left_semi").select("place").distinct()
+    open_pairs = above.join(settled, "place", "left_anti")
+    step = F.row_number().over(Window.orderBy("place")).alias("step")
+    waiting = open_pairs.groupBy("place").agg(F.collect_list("above").alias("above")).select("place", "above", step)
+    chosen = spark.sql(
+        """
+        with recursive walk(step, chosen) max recursion level 1000000 as (
+          select 0, cast(array() as array<int>)
+          union all
+          select w.step + 1,
+            case when arrays_overlap(w.chosen, o.above) then w.chosen else array_append(w.chosen, o.place) end
+          from walk w join {waiting} o on o.step = w.step + 1)
+        select explode(max_by(chosen, step)) as place from walk
+        """,
+        waiting=staged(waiting, "waiting"),
+    )
+    kept = staged(free.unionByName(chosen), "kept")
+    names = strong.select(F.col("place").alias("above"), F.col("candidate").alias("twin"))
+    first = above.join(kept.withColumnRenamed("place", "above"), "above", "left_semi").groupBy("place").agg(F.min("above").alias("above"))
+    twins = first.join(names, "above").select("place", "twin")
+    verdict = (
+        F.when(F.col("weak"), F.lit("weak"))
+        .when(F.col("twin").isNotNull(), F.concat(F.lit("redundant with "), F.col("twin")))
+        .otherwise(F.lit("kept"))
     )
+    return ranked.join(twins, "place", "left").select("place", "candidate", "importance", verdict.alias("verdict"))

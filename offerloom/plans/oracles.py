@@ -469,6 +469,23 @@ FINAL: dict[str, str] = {
     "champion_batch": f"""select customer_id, offer_type, level, cost, {_F}, scored_at, true as is_probability, true as from_champion
         from ({_batch(RUN_TS)})""",
     "champion_base": f"select {_BASE}, count(*) as offers, true as is_probability, true as from_champion from scored group by all",
+    "feature_selection": f"""select place::int as place, candidate, importance, verdict from (
+        with recursive importance_rows as (select "column" as candidate,
+            round((select auc from importance_aucs where "column" = '(none)') - avg(auc), 6) as importance
+          from importance_aucs where "column" <> '(none)' group by 1),
+        ranks as (select row_number() over (order by importance desc, candidate) as place, * from importance_rows),
+        twins as ({" union all ".join(f"select '{a}' as one, '{b}' as other from candidates having abs(round(corr({a}, {b}), 6)) > 0.9"
+            for a, b in combinations(CANDIDATES, 2))}),
+        judged as (select 0::bigint as place, '' as candidate, 0.0::double as importance, '' as verdict, []::varchar[] as kept
+          union all
+          select r.place, r.candidate, r.importance, case when r.importance < 0.001 then 'weak'
+              when t.twin is not null then 'redundant with ' || t.twin else 'kept' end,
+            case when r.importance < 0.001 or t.twin is not null then j.kept else list_append(j.kept, r.candidate) end
+          from judged j join ranks r on r.place = j.place + 1
+          left join lateral (select arg_min(k.name, k.at) as twin
+            from (select unnest(j.kept) as name, generate_subscripts(j.kept, 1) as at) k
+            join twins w on (w.one = k.name and w.other = r.candidate) or (w.other = k.name and w.one = r.candidate)) t on true)
+        select * from judged where place > 0)""",
     "best_run": "select run_id, model, version, auc, accuracy from version_runs qualify row_number() over (partition by model order by auc desc nulls last, run_id) = 1",
     "promotion_ledger": """select run_id, model, version, auc, champion_auc_before, promoted,
         max(case when promoted then version end) over (partition by model order by version rows unbounded preceding) as champion_version

@@ -1,6 +1,7 @@
 """Null groups, intact rules, refused tables: faults that plain data never shows."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,3 +67,50 @@ def test_many_candidates(spark):
     )
     got = {r.candidate: r.verdict for r in screening.select_features(importance, pairs).collect()}
     assert len(got) == 300 and got["c1"] == "redundant with c0"
+
+
+def plain_selection(importance, close):
+    """Verdicts by a walk down the ranking."""
+    kept, out = [], {}
+    for name, weight in sorted(importance, key=lambda r: (-r[1], r[0])):
+        near = [k for k in kept if frozenset((name, k)) in close]
+        if weight < screening.WEAK_BELOW:
+            out[name] = "weak"
+        elif near:
+            out[name] = f"redundant with {near[0]}"
+        else:
+            out[name] = "kept"
+            kept.append(name)
+    return out
+
+
+@pytest.mark.parametrize("seed, chance", [(1, 0.05), (2, 0.2), (3, 0.5)])
+def test_selection_through_chains(spark, seed, chance):
+    """A long chain of twins and a random web of them, ties and weak candidates among them."""
+    rng = random.Random(seed)
+    importance = [(f"c{k:02d}", rng.choice([0.0002, 0.1, 0.2, 0.3, round(rng.random(), 3)])) for k in range(26)]
+    importance += [(f"d{k:02d}", 0.9 - k / 100) for k in range(20)]
+    pairs = [(a, b, 0.95) for (a, _), (b, _) in zip(importance[26:], importance[27:])]
+    pairs += [(importance[i][0], importance[j][0], rng.choice([-0.99, 0.9, 0.5])) for i in range(26) for j in range(i) if rng.random() < chance]
+    got = screening.select_features(
+        spark.createDataFrame(importance, "column string, importance double"),
+        spark.createDataFrame(pairs, "first string, second string, correlation double"),
+    )
+    want = plain_selection(importance, {frozenset(p[:2]) for p in pairs if abs(p[2]) > 0.9})
+    assert {r.candidate: r.verdict for r in got.collect()} == want
+
+
+def test_more_candidates_than_a_control_table_has_rows(spark):
+    importance = spark.range(10_001).select(
+        F.concat(F.lit("c"), F.col("id").cast("string")).alias("column"), (1 - F.col("id") / 20_000).alias("importance")
+    )
+    pairs = spark.range(5000).select(
+        F.concat(F.lit("c"), (2 * F.col("id")).cast("string")).alias("first"),
+        F.concat(F.lit("c"), (2 * F.col("id") + 1).cast("string")).alias("second"),
+        F.lit(0.95).alias("correlation"),
+    )
+    got = screening.select_features(importance, pairs)
+    assert {r["kind"]: r["count"] for r in got.groupBy(F.substring_index("verdict", " ", 1).alias("kind")).count().collect()} == {
+        "kept": 5001,
+        "redundant": 5000,
+    }

@@ -6,6 +6,8 @@ joined to the digests of known licences. An entire document is looked up, and so
 is each of its lines, since a notice such as "Released under the MIT License."
 is an entire text of one line. Digests are SHA-256, so equal ones are equal texts.
 
+Line breaks do not matter for an entire text, apart from those around copyright lines.
+
 The registry is a written table, so Spark knows its size before it plans: it is
 broadcast if small, and else only ids and digests are shuffled. Of a document only
 its matches move on, which are no more than the known licences.
@@ -211,7 +213,7 @@ file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
 def _variants() -> tuple[tuple[str, str], ...]:
     """Each entire text with and without a title and the line of rights, as published and on one line.
 
-    A published line that begins with "copyright" goes as a copyright line, so both forms are needed.
+    A title or line of rights may stand before the text or not, on lines of its own or not.
     """
     out = []
     for licence, titles, text in TEXTS:
@@ -223,22 +225,45 @@ def _variants() -> tuple[tuple[str, str], ...]:
 
 
 KNOWN = NOTICES + _variants()
+# SHA-256 of the canonical form of long public texts, entire and as published.
+DIGESTS = (
+    ("Apache-2.0", "30f252879a369658fc224e8227e895b73379d4925f9a2e6ca76cd07f39c6a303"),
+    ("GPL-2.0-only", "8ceef37851021afc07e4d5138e4c1c58b285e876796ca1a6cfa5eaa9ffaea599"),
+    ("GPL-3.0-only", "b4c42912d85182abb09e39f33b791d93201ac133838d0f9972b735a3e52acbff"),
+    ("LGPL-2.1-only", "06f44ebf9515e6c412985cf8f2c6b133e91f457a1f520a900164472a54c1dc58"),
+    ("LGPL-3.0-only", "99c1a85dc9c673acfd6a330c4a68bd319185c3d6b8f4888157bf159e2ee60285"),
+    ("MPL-2.0", "d967acc6ac57ac0410b353c5ae5266cdc1affe6b50883a3da362e3028c5c1f19"),
+    ("CC0-1.0", "92f195ae84ff559b03177551e6c1166f57d3cc30f5a7d806b4039e24906bd8de"),
+)
 # A copyright line, and (spelling, equal spelling) pairs before and after punctuation goes.
-COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(copyright|copr\.|\(c\)|©)[^\n]*$"
+# The word needs a sign, a year or the place of one behind it; a line of a sentence that begins with it stays.
+COPYRIGHT_LINE = (
+    r"(?m)^[^\p{L}\p{N}\n]*(?:(?:copyright|copr\.)[ \t]*(?:\(c\)|©|[\[<{(]?(?:[0-9]{4}|yyyy|year))|©|\(c\)[ \t]*[0-9]{4})[^\n]*$"
+)
 SPELLINGS = (("licence", "license"), ("https://", "http://"), ("&", " and "))
 WORD_SPELLINGS = ((" sub license", " sublicense"), ("non commercial", "noncommercial"), (" version ", " v "))
 NOT_WORD = r"[^\p{L}\p{N}\n]+"
 
 
-def canonical_lines(text: Column) -> Column:
-    """The lines of the canonical text, without empty ones."""
+def word_lines(text: Column) -> Column:
+    """The lines of a text as words with a space between, without copyright lines and empty ones."""
     out = F.lower(F.coalesce(text.cast("string"), F.lit("")))
     for old, new in SPELLINGS:
         out = F.replace(out, F.lit(old), F.lit(new))
     out = F.regexp_replace(F.regexp_replace(out, COPYRIGHT_LINE, ""), NOT_WORD, " ")
+    return F.filter(F.transform(F.split(out, "\n"), lambda line: F.trim(line)), lambda line: line != "")
+
+
+def spelled(words: Column) -> Column:
+    """Words in their one spelling; of a whole text it does not depend on where its lines break."""
+    out = F.concat(F.lit(" "), words, F.lit(" "))
     for old, new in WORD_SPELLINGS:
         out = F.replace(out, F.lit(old), F.lit(new))
-    return F.filter(F.transform(F.split(out, "\n"), lambda line: F.trim(line)), lambda line: line != "")
+    return F.trim(out)
+
+
+def whole_text(lines: Column) -> Column:
+    return spelled(F.array_join(lines, " "))
 
 
 def digest(canon: Column) -> Column:
@@ -246,27 +271,29 @@ def digest(canon: Column) -> Column:
 
 
 def known_licences(spark: SparkSession) -> DataFrame:
-    """The registry of the built-in texts."""
-    return registry(spark.createDataFrame(KNOWN, "licence string, text string"))
+    """The registry of the built-in texts and digests."""
+    texts = registry(spark.createDataFrame(KNOWN, "licence string, text string"))
+    long = spark.createDataFrame(DIGESTS, "licence string, digest string")
+    return texts.unionByName(long.withColumn("canon", F.lit(None).cast("string")))
 
 
 def registry(texts: DataFrame) -> DataFrame:
     """(digest, canon, licence) of licence texts (licence, text); equal texts name the smallest licence."""
-    canon = texts.select("licence", F.array_join(canonical_lines(F.col("text")), " ").alias("canon"))
+    canon = texts.select("licence", whole_text(word_lines(F.col("text"))).alias("canon"))
     known = canon.filter("canon <> ''").groupBy("canon").agg(F.min("licence").alias("licence"))
     return known.select(digest(F.col("canon")).alias("digest"), "canon", "licence")
 
 
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     """doc_id, licences (sorted, distinct), whole (the licence that the entire text is), one row per document."""
-    lines = docs.select("doc_id", canonical_lines(F.col("text")).alias("lines"))
-    whole = F.array_join("lines", " ")
+    lines = docs.select("doc_id", word_lines(F.col("text")).alias("lines"))
+    whole = whole_text(F.col("lines"))
     # an entire text of one line is listed once, as entire
     units = F.concat(
         F.array(F.struct(whole.alias("canon"), F.lit(True).alias("entire"))),
         F.transform(
             F.filter(F.array_distinct("lines"), lambda line: F.size("lines") > 1),
-            lambda line: F.struct(line.alias("canon"), F.lit(False).alias("entire")),
+            lambda line: F.struct(spelled(line).alias("canon"), F.lit(False).alias("entire")),
         ),
     )
     exploded = lines.select("doc_id", F.inline(units)).filter("canon <> ''")

@@ -23,26 +23,32 @@ from t join g using (norm)
 
 
 def licence_sql() -> str:
-    canon = "lower(coalesce(text, ''))"
-    for old, new in licences.SPELLINGS:
-        canon = f"replace({canon}, {_text(old)}, {_text(new)})"
-    canon = f"regexp_replace({canon}, {_text(licences.COPYRIGHT_LINE)}, '', 'g')"
-    canon = f"regexp_replace({canon}, {_text(licences.NOT_WORD)}, ' ', 'g')"
-    for old, new in licences.WORD_SPELLINGS:
-        canon = f"replace({canon}, {_text(old)}, {_text(new)})"
-    lines = f"list_filter(list_transform(string_split({canon}, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '')"
+    """Patterns and spellings are written out here; only the licence texts are those of the code."""
+    words = "replace(replace(replace(lower(coalesce(text, '')), 'licence', 'license'), 'https://', 'http://'), '&', ' and ')"
+    right = r"(?:copyright|copr\.)[ \t]*(?:\(c\)|©|[\[<{(]?(?:[0-9]{4}|yyyy|year))|©|\(c\)[ \t]*[0-9]{4}"
+    words = f"regexp_replace({words}, '(?m)^[^\\p{{L}}\\p{{N}}\\n]*(?:{right})[^\\n]*$', '', 'g')"
+    words = f"regexp_replace({words}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
+    lines = f"list_filter(list_transform(string_split({words}, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '')"
+
+    def canon(x: str) -> str:
+        padded = f"replace(replace(' ' || {x} || ' ', ' sub license', ' sublicense'), 'non commercial', 'noncommercial')"
+        return f"trim(replace({padded}, ' version ', ' v '), ' ')"
+
+    whole = canon("array_to_string(ls, ' ')")
     known = ", ".join(f"({_text(name)}, {_text(text)})" for name, text in licences.KNOWN)
+    digests = ", ".join(f"('{name}', '{digest}')" for name, digest in licences.DIGESTS)
     return f"""
 with known as (
-  select array_to_string({lines}, ' ') as canon, min(licence) as licence
-  from (values {known}) v(licence, text) group by 1),
+  select digest, min(licence) as licence from (
+    select sha256({whole}) as digest, licence from (select licence, {lines} as ls from (values {known}) v(licence, text))
+    union all select digest, licence from (values {digests}) w(licence, digest)) group by 1),
 t as (select doc_id, {lines} as ls from documents),
 u as (
-  select doc_id, unnest(ls) as canon, false as entire from t where len(ls) > 1
-  union all select doc_id, array_to_string(ls, ' '), true from t),
+  select doc_id, {canon("x")} as canon, false as entire from (select doc_id, unnest(ls) as x from t where len(ls) > 1)
+  union all select doc_id, {whole}, true from t where len(ls) > 0),
 f as (
   select doc_id, list_sort(list_distinct(list(licence))) as found, min(case when entire then licence end) as whole
-  from u join known using (canon) group by doc_id)
+  from u join known on sha256(canon) = digest group by doc_id)
 select t.doc_id, coalesce(len(found), 0)::bigint as n_licences,
   coalesce(array_to_string(found, ','), '') as licences, whole
 from t left join f using (doc_id)

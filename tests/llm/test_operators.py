@@ -1,6 +1,10 @@
 """Operators against plain Python and edge cases on small frames."""
 
 import random
+import re
+import textwrap
+from itertools import groupby
+from pathlib import Path
 
 import brute
 import numpy as np
@@ -349,6 +353,47 @@ def test_entire_wrapped_licences(spark):
     assert got == {k: n for k, (n, _) in enumerate(rows)}
 
 
+def wrapped(text, width):
+    """Paragraphs filled to a width; copyright lines stay lines of their own."""
+    out = []
+    for paragraph in re.split(r"\n[ \t]*\n", text):
+        for own, lines in groupby(paragraph.split("\n"), lambda x: bool(re.match(r"(?i)\W*(copyright|copr\.)\W*(\(c\)|[0-9]|yyyy|year)", x))):
+            flow = " ".join(" ".join(lines).split())
+            out.append(flow if own else textwrap.fill(flow, width, break_long_words=False, break_on_hyphens=False))
+        out.append("")
+    return "\n".join(out)
+
+
+def test_entire_licences_of_any_width(spark):
+    """All texts of the registry, and the long ones where the system has them, at widths from 50 to 100."""
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2.0-only": "GPL-2", "GPL-3.0-only": "GPL-3", "MPL-2.0": "MPL-2.0"}
+    texts = [(n, text) for n, _, text in licences.TEXTS]
+    for name, file in files.items():
+        path = Path("/usr/share/common-licenses") / file
+        if path.exists():
+            texts.append((name, path.read_text()))
+    rows = [(n, f"Copyright 2021 A. Author\n\n{wrapped(text, width)}") for n, text in texts for width in range(50, 101, 5)]
+    docs = spark.createDataFrame([(k, text) for k, (_, text) in enumerate(rows)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["whole"] for r in licences.scan(docs, licences.known_licences(spark)).collect()}
+    assert got == {k: n for k, (n, _) in enumerate(rows)}
+
+
+def test_licence_edges(spark, none):
+    known = licences.known_licences(spark)
+    assert licences.scan(none, known).count() == 0
+    mit = "Released under the MIT License."
+    rows = [(1, mit), (1, "text\nLicensed under CC BY 4.0."), (None, mit), (2, None), (3, "Copyright 2020 Me"), (4, "copyright holders\n" + mit)]
+    got = licences.scan(spark.createDataFrame(rows, "doc_id bigint, text string"), known).collect()
+    assert sorted((r["doc_id"] or 0, r["licences"], r["whole"]) for r in got) == [
+        (0, [], None),
+        (1, ["CC-BY-4.0", "MIT"], "MIT"),
+        (1, ["CC-BY-4.0", "MIT"], "MIT"),
+        (2, [], None),
+        (3, [], None),
+        (4, ["MIT"], None),
+    ]
+
+
 # quotes
 
 

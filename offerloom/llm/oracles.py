@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from offerloom.llm import licences, quotes, urls
+from offerloom.llm import licences, urls
 from offerloom.llm.frames import LOWER, UPPER
 
 
@@ -89,29 +89,43 @@ def site_line_sql() -> str:
     return SITE_LINES.replace("{host}", host).replace("{text}", text)
 
 
-def quotation_sql() -> str:
-    quote = _text(quotes.QUOTE)
-    line = f"trim(regexp_replace(regexp_replace(l, {quote}, ''), {_text(quotes.BLANKS)}, ' ', 'g'), ' ')"
-    level = f"len(regexp_replace(regexp_extract(l, {quote}, 1), '[^>]', '', 'g'))"
-    normal = f"trim(regexp_replace(lower(passage), {_text(quotes.NOT_WORD)}, ' ', 'g'), ' ')"
-    return f"""
+# Patterns are written out here, as above.
+QUOTATIONS = r"""
 with recursive m as (select row_number() over () as k, * from conversations),
 raw as (
   select k, conv_id, turn, unnest(string_split(coalesce(text, ''), chr(10))) as l,
     generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos
   from m),
-lines as (select * from (select k, conv_id, turn, pos, {level}::bigint as level, {line} as line from raw) where line <> ''),
-quoting as (select distinct k from lines where level > 0),
-own as (
-  select * from lines where level = 0
-    and not (k in (select k from quoting) and regexp_matches(line, {_text(quotes.ATTRIBUTION)}))),
+cut as (
+  select k, conv_id, turn, pos,
+    len(regexp_replace(regexp_extract(l, '^((?:[ \t]*>)+)', 1), '[^>]', '', 'g'))::bigint as level,
+    trim(regexp_replace(regexp_replace(l, '^((?:[ \t]*>)+)', ''), '\s+', ' ', 'g'), ' ') as line
+  from raw),
+quoting as (select distinct k from cut where level > 0 and line <> ''),
+lines as (
+  select * exclude (line), case when level = 0 and k in (select k from quoting)
+      and regexp_matches(line, '(?i)^(on|le|am|el) .* (wrote|écrit|schrieb|escribió) ?:$') then '' else line end as line
+  from cut),
+marked as (
+  select *, (lag(level) over w is distinct from level)::int as turns,
+    (line <> '' and (lag(level) over w is distinct from level or lag(line) over w = ''))::int as begins
+  from lines window w as (partition by k order by pos)),
+numbered as (
+  select *, sum(turns) over w as block, sum(begins) over w as paragraph
+  from marked window w as (partition by k order by pos rows unbounded preceding)),
+paragraphs as (
+  select k, conv_id, turn, level, string_agg(line, ' ' order by pos) as passage
+  from numbered where line <> '' group by k, conv_id, turn, level, paragraph),
 said as (
-  select k, conv_id, turn, 0::bigint as level, string_agg(line, ' ' order by pos) as passage from own group by all
-  union select k, conv_id, turn, level, line from own
-  union all
-  select k, conv_id, turn, level, string_agg(line, ' ' order by pos) from lines where level > 0 group by all
-  union select k, conv_id, turn, level, line from lines where level > 0),
-unit as (select * from (select conv_id, turn, level, {normal} as normal from said) where normal <> ''),
+  select k, conv_id, turn, level, string_agg(line, ' ' order by pos) as passage from lines where line <> '' group by k, conv_id, turn, level
+  union
+  select k, conv_id, turn, level, string_agg(line, ' ' order by pos) from numbered where line <> '' group by k, conv_id, turn, level, block
+  union select * from paragraphs
+  union select k, conv_id, turn, level, unnest(string_split(regexp_replace(passage, '([.!?])\s+', '\1' || chr(10), 'g'), chr(10))) from paragraphs
+  union select k, conv_id, turn, level, line from lines where line <> ''),
+unit as (
+  select * from (select conv_id, turn, level, trim(regexp_replace(lower(passage), '[^\p{L}\p{N}]+', ' ', 'g'), ' ') as normal from said)
+  where normal <> ''),
 first as (select conv_id, normal, min(turn) as origin from unit where level = 0 group by all),
 answer as (
   select conv_id, turn, arg_max(origin, (-level) * 1000000000 + origin) as answers
@@ -121,7 +135,7 @@ chain as (
   union all
   select c.conv_id, c.turn, a.answers, c.depth + 1 from chain c join answer a on a.conv_id = c.conv_id and a.turn = c.top),
 placed as (select conv_id, turn, arg_max(top, depth) as thread, max(depth) as depth from chain group by all),
-body as (select k, string_agg(line, chr(10) order by pos) as text from own group by k)
+body as (select k, string_agg(line, chr(10) order by pos) as text from lines where level = 0 and line <> '' group by k)
 select m.conv_id, m.turn, m.role, answers,
   coalesce(thread, case when m.conv_id is not null then m.turn end) as thread,
   coalesce(depth, 0) as depth, coalesce(body.text, '') as text
@@ -235,7 +249,7 @@ qualify rank <= 5
 
 def statements() -> dict[str, str]:
     return {
-        "op2_quotation_linking": quotation_sql(),
+        "op2_quotation_linking": QUOTATIONS,
         "op3_site_line_dedup": site_line_sql(),
         "op8_url_filters": url_sql(),
         "op9_exact_dedup": EXACT,

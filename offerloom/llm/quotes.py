@@ -1,7 +1,10 @@
 """Chat formatting by quotation linking.
 
 Each line of a message has a quote level, the number of ">" in front of it. What a
-message says at a level is a passage, and so is each of its lines. Passages are
+message says at a level is a passage, and so are each run of lines of that level, each
+paragraph and sentence of it with its lines joined, and each line. So a quote that a mail
+client has broken into other lines, or one of several quotes, has the passages of its
+original. Passages are
 normalised (case, punctuation, white space) and hashed; the first message of a
 conversation with an own passage, at level 0, is its original. Quoted passages are
 joined to originals by conversation and hash, and the normalised texts are compared,
@@ -30,12 +33,13 @@ from offerloom.session import staged
 
 QUOTE = r"^((?:[ \t]*>)+)"
 BLANKS = r"\s+"
+SENTENCE = r"([.!?])\s+"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 ATTRIBUTION = r"(?i)^(on|le|am|el) .* (wrote|écrit|schrieb|escribió) ?:$"
 
 
 def quoted_lines(text: Column) -> Column:
-    """The lines that are not blank as (level, line), quote marks taken off."""
+    """All lines as (level, line), quote marks taken off; blank ones, and attributions of quotes, are empty."""
     lines = F.split(F.coalesce(text, F.lit("")), "\n")
 
     def cut(line: Column) -> Column:
@@ -45,14 +49,56 @@ def quoted_lines(text: Column) -> Column:
             F.trim(F.regexp_replace(F.regexp_replace(line, QUOTE, ""), BLANKS, " ")).alias("line"),
         )
 
-    return F.filter(F.transform(lines, cut), lambda x: x["line"] != "")
+    return F.transform(lines, cut)
+
+
+def without_attributions(lines: Column) -> Column:
+    """Lines that say whose quote follows made empty, in messages with quotes."""
+    quoting = F.exists(lines, lambda x: (x["level"] > 0) & (x["line"] != ""))
+
+    def kept(x: Column) -> Column:
+        told = quoting & (x["level"] == 0) & x["line"].rlike(ATTRIBUTION)
+        return F.struct(x["level"].alias("level"), F.when(told, "").otherwise(x["line"]).alias("line"))
+
+    return F.transform(lines, kept)
 
 
 def own_text(lines: Column) -> Column:
-    """Lines without quotes, and without the attribution of quotes."""
-    quoting = F.exists(lines, lambda x: x["level"] > 0)
-    own = F.filter(lines, lambda x: (x["level"] == 0) & ~(quoting & x["line"].rlike(ATTRIBUTION)))
-    return F.transform(own, lambda x: x["line"])
+    """Lines without quotes."""
+    return F.transform(F.filter(lines, lambda x: (x["level"] == 0) & (x["line"] != "")), lambda x: x["line"])
+
+
+def runs(lines: Column, starts: Column) -> Column:
+    """(level, passage) of the lines from each start to the next, joined; `starts` are places from 0."""
+
+    def passage(start: Column, k: Column) -> Column:
+        end = F.coalesce(F.get(starts, k + 1), F.size(lines))
+        own = F.filter(F.slice(lines, start + 1, end - start), lambda x: x["line"] != "")
+        return F.struct(F.get(lines, start)["level"].alias("level"), F.array_join(F.transform(own, lambda x: x["line"]), " ").alias("passage"))
+
+    return F.transform(starts, passage)
+
+
+def passages(lines: Column) -> Column:
+    """(level, passage): runs of one level, paragraphs, sentences and lines of a message."""
+    place = F.sequence(F.lit(0), F.size(lines) - 1)  # a text has one line at least
+    at = lambda i: F.get(lines, i)
+    before = lambda i: F.get(lines, i - 1)
+    turns = lambda i: (i == 0) | (F.coalesce(before(i)["level"], F.lit(-1)) != at(i)["level"])
+    blocks = runs(lines, F.filter(place, turns))
+    begins = F.filter(place, lambda i: (at(i)["line"] != "") & (turns(i) | (F.coalesce(before(i)["line"], F.lit("")) == "")))
+    paragraphs = runs(lines, begins)
+    sentences = F.flatten(
+        F.transform(
+            paragraphs,
+            lambda p: F.transform(
+                F.split(F.regexp_replace(p["passage"], SENTENCE, "$1\n"), "\n"),
+                lambda x: F.struct(p["level"].alias("level"), x.alias("passage")),
+            ),
+        )
+    )
+    single = F.transform(lines, lambda x: F.struct(x["level"].alias("level"), x["line"].alias("passage")))
+    return F.filter(F.array_distinct(F.concat(blocks, paragraphs, sentences, single)), lambda x: x["passage"] != "")
 
 
 def normal(passage: Column) -> Column:
@@ -65,22 +111,18 @@ def _hashed(frame: DataFrame) -> DataFrame:
 
 def quotations(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, level, origin): each quoted passage with the turn of its original."""
-    levels = F.array_sort(F.array_distinct(F.filter(F.transform("lines", lambda x: x["level"]), lambda n: n > 0)))
-
-    def said(level: Column) -> Column:
-        return F.transform(F.filter("lines", lambda x: x["level"] == level), lambda x: x["line"])
-
-    def units(level: Column) -> Column:
-        each = said(level)
-        passages = F.array_distinct(F.concat(F.array(F.array_join(each, " ")), each))
-        return F.transform(passages, lambda p: F.struct(level.alias("level"), p.alias("passage")))
-
-    known = messages.filter("conv_id is not null and turn is not null")
-    quoted = known.filter(F.exists("lines", lambda x: x["level"] > 0))
-    quoted = quoted.select("conv_id", "turn", F.inline(F.flatten(F.transform(levels, units))))
-    quoted = staged(_hashed(quoted).drop("passage"), "quoted")
-    whole = F.array_join("own", " ")
-    own = known.select("conv_id", "turn", F.explode(F.array_distinct(F.concat(F.array(whole), "own"))).alias("passage"))
+    # with the runs, all that is said at a level
+    levels = F.array_distinct(F.transform("lines", lambda x: x["level"]))
+
+    def whole(level: Column) -> Column:
+        each = F.filter("lines", lambda x: (x["level"] == level) & (x["line"] != ""))
+        return F.struct(level.alias("level"), F.array_join(F.transform(each, lambda x: x["line"]), " ").alias("passage"))
+
+    units = F.array_distinct(F.concat(F.transform(levels, whole), "passages"))
+    known = messages.filter("conv_id is not null and turn is not null").withColumn("passages", passages(F.col("lines")))
+    said = known.select("conv_id", "turn", F.inline(units))
+    quoted = staged(_hashed(said.filter("level > 0")).drop("passage"), "quoted")
+    own = said.filter("level = 0").drop("level")
     first = _hashed(own).groupBy("conv_id", "hash", "normal").agg(F.min("turn").alias("origin"))
     first = staged(first, "originals").withColumnRenamed("normal", "_normal")
     return (
@@ -116,7 +158,7 @@ def threads(answers: DataFrame) -> DataFrame:
 def link_conversations(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, role, answers, thread, depth, text), one row per message (conv_id, turn, role, text)."""
     cut = messages.select("conv_id", "turn", "role", quoted_lines(F.col("text")).alias("lines"))
-    cut = cut.withColumn("own", own_text(F.col("lines")))
+    cut = cut.withColumn("lines", without_attributions(F.col("lines"))).withColumn("own", own_text(F.col("lines")))
     best = F.max(F.struct((-F.col("level")).alias("outer"), "origin"))
     answers = quotations(cut).groupBy("conv_id", "turn").agg(best.alias("best"))
     answers = staged(answers.select("conv_id", "turn", F.col("best.origin").alias("answers")), "answers")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerloom.functions.timing import time_block, ts_lit
-from offerloom.operators.scan import prefix_scan
+from offerloom.operators.scan import BLOCK, block_of, prefix_scan
 from offerloom.operators.timeline import BLOCK_HOURS
 
 
@@ -32,9 +32,11 @@ def pit_lookup(
     given = features.select(key, F.col(feature_ts).alias("t"), packed.alias("f"), F.lit(False).alias("asked"))
     line = (
         wanted.unionByName(given)
-        .groupBy(key, "t")
-        .agg(F.max("f").alias("f"), F.max("asked").alias("asked"))
         .withColumn("block", time_block(F.col("t"), block_hours))
+        .withColumn(BLOCK, block_of([key], ["block"]))
+        .repartition(BLOCK)
+        .groupBy(BLOCK, key, "t", "block")
+        .agg(F.max("f").alias("f"), F.max("asked").alias("asked"))
     )
     found = prefix_scan(line, [key], ["block"], ["t"], {"f": ("max", "f")}, keep="asked")
     found = found.select(

@@ -27,6 +27,14 @@ def _combine(kind: str, inside: Column, before: Column) -> Column:
     return (F.greatest if kind == "max" else F.least)(inside, before)
 
 
+BLOCK = "_block"
+
+
+def block_of(group: Sequence[str], block: Sequence[str]) -> Column:
+    """The key that `prefix_scan` cuts by; rows that have it as `_block`, and are dealt by it, are not dealt again."""
+    return F.struct(*group, *block)
+
+
 def prefix_scan(
     df: DataFrame,
     group: Sequence[str],
@@ -47,8 +55,9 @@ def prefix_scan(
     unless it ends in a shuffle that Spark can reuse.
     """
     # one struct, as structs with null fields are equal: rows of a null group keep their totals
-    df_columns, keys = df.columns, ["_block"]
-    df = df.withColumn("_block", F.struct(*group, *block))
+    df_columns, keys = [c for c in df.columns if c != BLOCK], [BLOCK]
+    if BLOCK not in df.columns:
+        df = df.withColumn(BLOCK, block_of(group, block))
     upto = 0 if inclusive else -1
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, upto)
     before = (

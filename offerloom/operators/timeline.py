@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerloom.functions.timing import TS_TYPE, days, time_block
-from offerloom.operators.scan import prefix_scan
+from offerloom.operators.scan import BLOCK, block_of, prefix_scan
 
 KEY = "customer_id"
 TS = "ts"
@@ -137,7 +137,7 @@ def measures_at(
 ) -> DataFrame:
     """Every measure in `changes` as of each distinct (customer, ts) of `anchors`.
 
-    Changes at one instant are summed before the shuffle. A customer is scanned
+    Changes at one instant are summed where the scan has them. A customer is scanned
     in blocks of `block_hours`, so one with a third of all events still spreads
     over the tasks; take shorter blocks for sources with dense sub-day times.
     """
@@ -145,13 +145,15 @@ def measures_at(
     line = anchors.select(KEY, TS, F.lit(True).alias(ANCHOR))
     for frame in changes:
         line = line.unionByName(frame, allowMissingColumns=True)
+    # dealt once, by the block of the scan: changes of one instant meet there, and so do both passes
+    line = line.withColumn("block", time_block(F.col(TS), block_hours)).withColumn(BLOCK, block_of([KEY], ["block"]))
     line = (
-        line.groupBy(KEY, TS)
+        line.repartition(BLOCK)
+        .groupBy(BLOCK, KEY, TS, "block")
         .agg(
             *[(F.max(n) if n in LAST else F.sum(n)).alias(n) for n in names],
             F.coalesce(F.max(ANCHOR), F.lit(False)).alias(ANCHOR),
         )
-        .withColumn("block", time_block(F.col(TS), block_hours))
     )
     running = {n: ("max" if n in LAST else "sum", n) for n in names}
     return prefix_scan(line, [KEY], ["block"], [TS], running, keep=ANCHOR).drop("block", ANCHOR)

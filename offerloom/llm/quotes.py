@@ -119,10 +119,16 @@ def quotations(messages: DataFrame) -> DataFrame:
         return F.struct(level.alias("level"), F.array_join(F.transform(each, lambda x: x["line"]), " ").alias("passage"))
 
     units = F.array_distinct(F.concat(F.transform(levels, whole), "passages"))
-    known = messages.filter("conv_id is not null and turn is not null").withColumn("passages", passages(F.col("lines")))
-    said = known.select("conv_id", "turn", F.inline(units))
-    quoted = staged(_hashed(said.filter("level > 0")).drop("passage"), "quoted")
-    own = said.filter("level = 0").drop("level")
+    known = messages.filter("conv_id is not null and turn is not null")
+    quoting = known.filter(F.exists("lines", lambda x: (x["level"] > 0) & (x["line"] != "")))
+
+    def said(part: DataFrame) -> DataFrame:
+        return part.withColumn("passages", passages(F.col("lines"))).select("conv_id", "turn", F.inline(units))
+
+    quoted = staged(_hashed(said(quoting).filter("level > 0")).drop("passage"), "quoted")
+    # only where something is quoted are originals asked for
+    asked = known.join(quoted.select("conv_id").distinct(), "conv_id", "left_semi")
+    own = said(asked).filter("level = 0").drop("level")
     first = _hashed(own).groupBy("conv_id", "hash", "normal").agg(F.min("turn").alias("origin"))
     first = staged(first, "originals").withColumnRenamed("normal", "_normal")
     return (

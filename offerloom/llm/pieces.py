@@ -30,7 +30,7 @@ from offerloom.llm.frames import map_arrow
 from offerloom.llm.words import slices, texts_of
 
 MARK = "▁"
-REMEMBERED = 24 << 20  # bytes of units in each of the two generations a process keeps
+REMEMBERED = 48 << 20  # bytes of units in each of the two generations a process keeps
 ENTRY = 220  # bytes that a remembered unit takes besides its ids
 LONGEST = 48  # longer units are not remembered, and worked off one by one
 _NEVER = np.int32(2**31 - 1)

@@ -10,12 +10,14 @@ spread over tasks like any other. A class's candidates are its next `NEIGHBOURS`
 the sorted order with the same first `DEPTH` values: where few classes agree they are
 all of those, where many do they are the ones with the longest common prefix, so the
 depth adapts to the region. A pair with similarity 0.8 and no others around is missed
-by all orders with probability 3e-6. A range's end hides a few pairs of one order.
+by all orders with probability 3e-6. Classes with the same first values stay in one
+range unless they are a crowd, so no range's end hides a pair.
 
 Crowds: classes that share their first values with more others than `NEIGHBOURS` have
 pairs that no order puts side by side. These are found without any cap: sets as alike
 as the threshold share one of their rarest shingles, so the rare shingles of crowded
-classes are joined, between classes that no link connects so far.
+classes are joined, between classes that no link connects so far: a shingle whose
+classes are all connected makes no pair, however many they are.
 
 Links: a pair goes on if its sizes allow the threshold and its share of equal
 min-hashes is at most five standard deviations below it. Then the full sets are
@@ -25,17 +27,20 @@ every other pair that components do not join already.
 Defined results: null and empty texts, and texts without words, have an empty set
 and are linked with nothing; a text of fewer words than a shingle is one shingle;
 rows that repeat an id are one document, with the links of all their texts; a null
-id is linked with nothing and has a null component; only doc_id and text are read.
+id is linked with nothing and has a null component; only doc_id and text are read;
+ids are whole numbers of any type, and others raise an error.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from offerloom.llm.components import components
 from offerloom.llm.frames import map_arrow
@@ -174,14 +179,16 @@ def candidates(
     `classes` is a written table (id, n_shingles, marks, prefixes) of distinct sets.
     """
     # ids that are alone in an order go before anything wide moves
-    kept = _keys(classes).join(shared, "prefix", "left_semi")
+    kept = _keys(classes).join(shared, "prefix")
     turned = F.concat(
         F.expr(f"substring(marks, order * {DEPTH} + 1)"), F.expr(f"substring(marks, 1, order * {DEPTH})")
     ).alias("signature")
-    rows = kept.join(classes.select("id", "n_shingles", "marks"), "id").select("prefix", turned, "id", "n_shingles")
-    rows = staged(rows, "orders")
-    sort = ["prefix", "signature", "id"]
-    laid = rows.repartitionByRange(*sort).sortWithinPartitions(*sort)
+    rows = kept.join(classes.select("id", "n_shingles", "marks"), "id")
+    rows = staged(rows.select("prefix", turned, "id", "n_shingles", "count"), "orders")
+    # only crowds are cut between ranges; what a cut hides there, `passed_over` finds
+    crowd = F.col("count") > neighbours + 1
+    laid = rows.repartitionByRange("prefix", F.when(crowd, F.col("signature")), F.when(crowd, F.col("id")))
+    laid = laid.sortWithinPartitions("prefix", "signature", "id").drop("count")
     found = map_arrow(
         laid, lambda batches: _neighbour_pairs(batches, percent, neighbours), "a bigint, b bigint, share float"
     )
@@ -235,18 +242,40 @@ def passed_over(texts: DataFrame, roots: DataFrame, size: int, percent: int = PE
     The first rare shingle that a pair has in common leaves room for enough others;
     `share` is the number of those that do.
     """
-    rare = staged(rare_shingles(texts, size, percent), "rare-shingles")
-    several = rare.groupBy("shingle").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
-    rows = rare.join(several.select("shingle"), "shingle", "left_semi").join(roots, "id", "left")
-    rows = staged(rows.withColumn("component", F.coalesce("component", "id")), "rare-shared")
+    rare = staged(rare_shingles(texts, size, percent).join(roots, "id", "left"), "rare-shingles")
+    found = meetings(rare.withColumn("component", F.coalesce("component", "id")), percent)
+    return found.groupBy("a", "b").agg(F.count("*").cast("float").alias("share"))
+
+
+def meetings(rare: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b): for each shingle in common, the pairs of different components whose sizes and places allow the threshold.
+
+    `rare` has (shingle, id, n, place, component). The rows of a shingle are dealt to
+    cells of two neighbouring size bands; sizes that allow the threshold are at most one
+    band apart. A cell of one component is left out before anything meets. In the others
+    the rows outside the cell's largest component meet all rows of the cell, which makes
+    at most twice as many pairs as the cell has of different components.
+    """
+    band = F.floor(F.log("n") / math.log(100 / percent) + 1e-9).cast("int") if percent < 100 else F.col("n")
+    cells = rare.withColumn("band", band).withColumn("cell", F.explode(F.array(F.col("band") - 1, F.col("band"))))
+    cell = ["shingle", "cell"]
+    sizes = cells.groupBy(*cell, "component").count()
+    main = sizes.groupBy(*cell).agg(F.max(F.struct("count", "component")).alias("main"), F.count("*").alias("components"))
+    main = staged(main.filter("components > 1").select(*cell, F.col("main.component").alias("main")), "rare-cells")
+    rows = cells.join(main, cell).withColumn("outside", F.col("component") != F.col("main")).drop("main")
+    rows = staged(rows, "rare-shared")
     left, right = (
-        rows.select("shingle", F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "place", "component")])
+        rows.select(*cell, *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "place", "component", "band", "outside")])
         for s in "ab"
     )
     room = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     fits = (100 + percent) * room >= percent * (F.col("n_a") + F.col("n_b"))
-    found = left.join(right, "shingle").filter((F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b")) & fits)
-    return found.groupBy("a", "b").agg(F.count("*").cast("float").alias("share"))
+    # two rows outside meet twice, two of one band in two cells; one of these counts
+    once = (~F.col("outside_b") | (F.col("id_a") < F.col("id_b"))) & ~(
+        (F.col("band_a") == F.col("band_b")) & (F.col("band_a") != F.col("cell"))
+    )
+    found = left.filter("outside_a").join(right, cell).filter(once & (F.col("component_a") != F.col("component_b")) & fits)
+    return found.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
@@ -299,6 +328,10 @@ def links(
 
 def near_classes(docs: DataFrame, size: int, percent: int = PERCENT, neighbours: int = NEIGHBOURS) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per document."""
+    ids = docs.schema["doc_id"].dataType
+    if not isinstance(ids, T.IntegralType):
+        raise TypeError(f"doc_id must be a whole number, not {ids.simpleString()}")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = staged(sketches(docs, size), "sketches")
     linkable = known.filter("n_shingles > 0 and doc_id is not null")
     by_set = staged(linkable.groupBy("content").agg(F.min("doc_id").alias("doc_id")), "sets")
@@ -323,7 +356,7 @@ def near_classes(docs: DataFrame, size: int, percent: int = PERCENT, neighbours:
     return (
         known.select("doc_id", "n_shingles", "content")
         .join(groups, "content", "left")
-        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
+        .select(F.col("doc_id").cast(ids), "n_shingles", F.when(F.col("doc_id").isNotNull(), own).cast(ids).alias("component_id"))
     )
 
 

@@ -171,6 +171,58 @@ def test_near_copies_of_one_text(spark):
     assert got == brute.near_components(rows, 4)
 
 
+def test_near_crowds_of_two_templates(spark):
+    """Rows of one component do not meet; every pair of two components that sizes and places allow does, once a shingle."""
+    rng = random.Random(3)
+    rows = []
+    for shingle in range(40):
+        for i in rng.sample(range(60), rng.randrange(1, 30)):
+            rows.append((shingle, i, rng.randrange(1, 12) * 9, rng.randrange(0, 5), 0 if i < 35 else i // 5))
+    rows += [(99, i, 50, 0, 7) for i in range(500)]
+    for percent in (80, 100):
+        want = []
+        for x in rows:
+            for y in rows:
+                room = min(x[2] - x[3], y[2] - y[3])
+                if x[0] == y[0] and x[1] < y[1] and x[4] != y[4] and (100 + percent) * room >= percent * (x[2] + y[2]):
+                    want.append((x[1], y[1]))
+        frame = spark.createDataFrame(rows, "shingle bigint, id bigint, n int, place int, component bigint")
+        got = near_dedup.meetings(frame, percent)
+        assert sorted((r["a"], r["b"]) for r in got.collect()) == sorted(want) and want
+
+
+def test_near_range_ends(spark):
+    """Pairs found do not depend on how many ranges the orders are cut into."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(60):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(40)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:-1] + ["end"]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    classes = near_dedup.sketches(docs, 4).withColumnRenamed("doc_id", "id").cache()
+    shared = near_dedup.shared_prefixes(classes)
+    found, before = [], {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for parts in ("1", "97"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            found.append(sorted(map(tuple, near_dedup.candidates(classes, shared).collect())))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found[0] == found[1] and len(found[0]) == 60
+
+
+def test_near_id_types(spark):
+    text = " ".join(f"w{k}" for k in range(50))
+    for kind in ("int", "smallint"):
+        found = near_dedup.near_classes(spark.createDataFrame([(5, text), (3, text + " x"), (9, "y")], f"doc_id {kind}, text string"), 4)
+        assert found.schema["component_id"].dataType.simpleString() == kind
+        assert {(r["doc_id"], r["component_id"]) for r in found.collect()} == {(5, 3), (3, 3), (9, 9)}
+    with pytest.raises(TypeError):
+        near_dedup.near_classes(spark.createDataFrame([("a", text)], "doc_id string, text string"), 4)
+
+
 def test_near_edges(hard, none):
     rows = near_dedup.report(near_dedup.near_classes(hard, 4)).collect()
     assert len(rows) == hard.count()

@@ -207,6 +207,28 @@ def features_at(facts: DataFrame, customer_ids: DataFrame, at: Column) -> DataFr
     return fill_defaults(out, FEATURE_DEFAULTS | {"redemptions_60d": 0})
 
 
+def features_at_each(facts: DataFrame, anchors: DataFrame, at: str, name: str) -> DataFrame:
+    """Features of customers as of instants of their own: `anchors` has (customer_id, `name`, `at`), few for each customer.
+
+    Equal to the rows that `features_asof` has for these instants, but facts are neither
+    unrolled nor sorted: each meets its customer's instants and is summed up.
+    """
+    anchor = F.col("_at")
+    # what a customer asks for travels as one row, so the facts are read and dealt once
+    asked = anchors.groupBy(KEY).agg(F.collect_list(F.struct(F.col(name).alias("_name"), F.col(at).alias("_at"))).alias("_asked"))
+    met = facts.join(asked, KEY).select(KEY, *[c for c in facts.columns if c != KEY], F.inline("_asked"))
+    got = met.filter(asof(F.col(TS), anchor)).groupBy(KEY, "_name", "_at").agg(*facts_measures(anchor))
+    out = anchors.withColumnsRenamed({name: "_name", at: "_at"}).join(got, [KEY, "_name", "_at"], "left").select(
+        KEY,
+        F.col("_name").alias(name),
+        anchor.alias(at),
+        *[c for c in got.columns if c in FEATURES],
+        days_since(F.col("last_redemption"), anchor).alias("days_since_redemption"),
+        days_since(F.col("last_credit"), anchor).alias("days_since_credit"),
+    )
+    return fill_defaults(out.select(KEY, name, at, *FEATURES), FEATURE_DEFAULTS)
+
+
 def latest(df: DataFrame, key: str, ts: str) -> DataFrame:
     """The newest row per key, by a map-side combined maximum."""
     rest = [c for c in df.columns if c not in (key, ts)]

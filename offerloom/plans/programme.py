@@ -194,16 +194,13 @@ class Programme(Tables):
     def features_before(self, runs: Sequence[str]) -> DataFrame:
         """What lookups at each run find in the feature table, NULL features if nothing.
 
-        A lookup can only find a customer's newest snapshot, so only those are
-        computed, for all runs on one timeline.
+        A lookup can only find a customer's newest snapshot, so only those are computed:
+        each customer's newest instants meet its facts, and sums combine before the shuffle.
         """
-        found = pit.last_before(self.every_point, KEY, TS, runs)
-        at = features.features_asof(
-            found.select(KEY, F.col("anchor_ts").alias(TS)), self.past_facts, until=ts_lit(max(runs))
-        )
-        known = found.join(at.withColumnRenamed(TS, "anchor_ts"), [KEY, "anchor_ts"])
+        found = staged(pit.last_before(self.every_point, KEY, TS, runs), "newest-points")
+        known = features.features_at_each(self.past_facts, found, "anchor_ts", "scored_at").drop("anchor_ts")
         asked = self.customer_ids.select(KEY, F.explode(F.array(*[ts_lit(r) for r in runs])).alias("scored_at"))
-        return asked.join(known, [KEY, "scored_at"], "left").drop("anchor_ts")
+        return asked.join(known, [KEY, "scored_at"], "left")
 
     def score_batch(self, *runs: str, version: int = MODEL_VERSION) -> DataFrame:
         """Scored grid at pinned instants with the features used, ready to append."""

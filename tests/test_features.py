@@ -12,6 +12,7 @@ from offerloom.operators import features, pit
 from offerloom.operators import timeline as tl
 from offerloom.operators.scan import prefix_scan, ranged
 from offerloom.operators.segments import customer_base
+from offerloom.plans.programme import Programme
 
 DAY0 = datetime(2024, 6, 1)
 
@@ -235,3 +236,16 @@ def test_one_scan_of_facts_equals_three_logs(spark, folder):
     three = features.customer_facts(p.redemptions, p.credits, p.missions)
     one = p.facts.withColumn("points", F.when(F.col("kind") != "mission", F.col("points")))
     assert one.exceptAll(three).count() == 0 and three.exceptAll(one).count() == 0
+
+
+def test_features_at_instants_of_their_own_need_no_timeline(spark, folder):
+    p = Programme(spark, folder)
+    runs = ("1999-01-01 00:00:00", "2000-07-01 00:00:00")
+    found = pit.last_before(p.every_point, "customer_id", "ts", runs)
+    summed = features.features_at_each(p.past_facts, found, "anchor_ts", "scored_at")
+    scanned = features.features_asof(found.select("customer_id", F.col("anchor_ts").alias("ts")), p.past_facts)
+    scanned = found.join(scanned.withColumnRenamed("ts", "anchor_ts"), ["customer_id", "anchor_ts"]).select(*summed.columns)
+    assert summed.count() == found.count() > 0
+    assert summed.exceptAll(scanned).count() == 0 and scanned.exceptAll(summed).count() == 0
+    plan = p.features_before(runs)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan

@@ -7,15 +7,18 @@ that field hold there. A row looks up its cell of each field, the bit sets are A
 and the first bit that is left is the block's first matching rule; rows without one go on
 to the next block. The work for a row grows with rules / 8 bytes per field, not with the
 number of conditions, and there is no limit to the number of rules: the blocks are
-handed to tasks in parts of bounded size, which rows pass one after the other.
+handed to tasks in parts of bounded size. Rows that a part leaves open are written
+before the next part takes them, so a task holds one part however many there are.
 """
 
 from __future__ import annotations
 
 import json
 import math
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from offerloom.operators.rules import FIELDS, OPERATORS
+from offerloom.session import staged
 from offerloom.sources.controls import active_rules
 from offerloom.sources.fixtures import NO_OFFER, NO_RULE
 
@@ -105,7 +109,7 @@ def _holds(op: str, value: object, values: list, text: bool) -> np.ndarray:
     if _is_nan(value):
         numbers = ~null & ~nan
         return {"=": nan, "!=": ~nan, "<": numbers, "<=": numbers}.get(op, np.zeros(n + 3, bool))
-    place = 2 * values.index(_order(value)) + 1
+    place = 2 * bisect_left(values, _order(value)) + 1
     numbers = cells <= n
     return {
         "=": cells == place,
@@ -184,31 +188,37 @@ def match_rules_indexed(customers: DataFrame, rules: DataFrame, block: int = BLO
     doubles, so whole numbers beyond 2^53 are not told apart.
     """
     spark, names = customers.sparkSession, customers.columns
-    found = customers
     schema = T.StructType([*customers.schema.fields, *WON.fields])
-    for n, part in enumerate(parts(active_rules(rules).toLocalIterator(), block, part_bytes)):
+    left, tried, won = customers, None, []
+    for part in parts(active_rules(rules).toLocalIterator(), block, part_bytes):
+        if tried is not None:
+            # another part follows: what the last one left open is written and goes on
+            tried = staged(tried, "tried")
+            won.append(tried.filter("action_level is not null"))
+            left = tried.filter("action_level is null").select(*names)
         index = spark.sparkContext.broadcast(part)
 
-        def match(batches: Iterator[pa.RecordBatch], index=index, begun=n > 0) -> Iterator[pa.RecordBatch]:
+        def match(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                out = batch.select([*names]).columns
-                won = [batch.column(c).to_pylist() if begun else [None] * batch.num_rows for c in WON.names]
-                # every rule has a level
-                open_rows = np.array([k for k in range(batch.num_rows) if won[2][k] is None], np.int64)
+                out: list[list] = [[None] * batch.num_rows for _ in WON.names]
+                open_rows = np.arange(batch.num_rows)
                 for piece in index.value:
                     if not len(open_rows):
                         break
                     first = piece.first(batch.take(pa.array(open_rows)))
                     for k, rule in zip(open_rows[first >= 0].tolist(), first[first >= 0].tolist()):
-                        won[0][k], won[1][k], won[2][k] = piece.names[rule]
+                        out[0][k], out[1][k], out[2][k] = piece.names[rule]
                     open_rows = open_rows[first < 0]
                 types = [pa.string(), pa.string(), pa.int32()]
-                yield pa.record_batch([*out, *[pa.array(c, t) for c, t in zip(won, types)]], [*names, *WON.names])
+                yield pa.record_batch(
+                    [*batch.select([*names]).columns, *[pa.array(c, t) for c, t in zip(out, types)]], [*names, *WON.names]
+                )
 
-        found = found.mapInArrow(match, schema)
-    if found is customers:
+        tried = left.mapInArrow(match, schema)
+    if tried is None:
         nothing = (F.lit(None).cast(f.dataType).alias(f.name) for f in WON.fields)
-        found = customers.select("*", *nothing)
+        tried = customers.select("*", *nothing)
+    found = reduce(DataFrame.unionByName, won, tried)
     missed = F.col("action_level").isNull()
     default = {"rule": F.lit(NO_RULE), "action": F.lit(NO_OFFER), "action_level": F.lit(1)}
     return found.select(*names, *[F.when(missed, default[c]).otherwise(F.col(c)).alias(c) for c in WON.names])

@@ -111,3 +111,15 @@ def test_missing_keys_are_reported(spark):
     for r in rules.rule_violations(table).collect():
         got[r["id"]].append(r["violation"])
     assert list(got.values()) == list(faulty.values())
+
+
+def test_a_task_holds_one_part_of_a_long_list(spark):
+    customers = spark.createDataFrame([(k, "active", k / 200, 1, 10, 1, 100) for k in range(200)], CUSTOMERS)
+    at = [f'[{{"field":"score","op":">=","value":{1 - k / 64}}}]' for k in range(1, 65)]
+    rules = [(k, k, f"r{k}", True, c, "best_ml", 1) for k, c in enumerate(at)]
+    listed = spark.createDataFrame(rules, "id long, priority long, name string, active boolean, conditions string, action string, action_level int")
+    got = rule_index.match_rules_indexed(customers, listed, block=8, part_bytes=1)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    whole = rule_index.match_rules_indexed(customers, listed)
+    assert sorted(got.collect()) == sorted(whole.collect()) and got.select("rule").distinct().count() == 64

@@ -1,5 +1,6 @@
 """Writers, updates, change feed, FIFO lots, promotion, model and streams."""
 
+import hashlib
 import random
 from datetime import datetime, timedelta
 
@@ -371,3 +372,33 @@ def test_clamps_compose():
             for kind, amount, credited in events:
                 front = max(front, amount) if kind == ledger.EXPIRY else min(front + amount, credited)
             assert front == min(clamp[2], max(clamp[1], p + clamp[0]))
+
+
+def test_equal_training_rows_are_fitted_as_one_that_weighs_as_much(spark, folder):
+    rows = Programme(spark, folder).training_set
+    once = model.counted(rows, "accepted")
+    thrice = model.counted(rows.unionByName(rows).unionByName(rows), "accepted")
+    assert once.agg(F.sum("weight")).first()[0] == rows.count()
+    assert thrice.count() == once.count()
+    assert thrice.agg(F.sum("weight")).first()[0] == 3 * rows.count()
+    fitted = [model.fit_propensity(r, rounds=2, depth=2) for r in (rows, rows.unionByName(rows))]
+    a, b = (model.predict_proba(f, rows).select("offer_id", "p_accept").collect() for f in fitted)
+    assert sorted(a) == sorted(b)
+
+
+def test_each_deal_is_a_shuffle_of_its_own(spark):
+    """Two runs by plain Python: sorted by md5(key:repeat:column), not moved by one step for all rows."""
+    rng = random.Random(3)
+    data = [(i, float(rng.random()), int(rng.random() < 0.5)) for i in range(40)]
+    df = spark.createDataFrame(data, "id long, x double, y int")
+    got = evaluation.permutation_importance(df, "id", ["x"], F.col("x"), "y", repeats=2).first().importance
+
+    def auc(scores):
+        pairs = [(p > n) + (p == n) / 2 for p, (_, _, a) in zip(scores, data) if a for n, (_, _, b) in zip(scores, data) if not b]
+        return round(sum(pairs) / len(pairs), 6)
+
+    deals = []
+    for repeat in (1, 2):
+        deck = sorted(data, key=lambda r: hashlib.md5(f"{r[0]}:{repeat}:x".encode()).hexdigest())
+        deals.append(auc([r[1] for r in deck]))
+    assert got == pytest.approx(auc([r[1] for r in data]) - sum(deals) / 2, abs=2e-6)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from offerloom.functions.timing import ts_lit
 from offerloom.operators import features, pit
 from offerloom.operators import timeline as tl
-from offerloom.operators.scan import prefix_scan, ranged
+from offerloom.operators.scan import busy_groups, prefix_scan, ranged
 from offerloom.operators.segments import customer_base
 from offerloom.plans.programme import Programme
 
@@ -249,3 +249,33 @@ def test_features_at_instants_of_their_own_need_no_timeline(spark, folder):
     assert summed.exceptAll(scanned).count() == 0 and scanned.exceptAll(summed).count() == 0
     plan = p.features_before(runs)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def _same(got, want):
+    want = want.select(*got.columns)
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0
+
+
+@pytest.mark.parametrize("most, hot", [(100_000, 0), (400, 1), (0, 41)])
+def test_customers_as_wholes_equal_blocks_of_time(spark, skewed, most, hot):
+    """All, some or no customers scanned as wholes; the null customer, repeated offers and offers without an instant stay."""
+    anchors, red, cred, mis = skewed
+    odd = spark.createDataFrame([(None, day(200)), (None, day(9)), (5, None)], "customer_id long, ts timestamp_ntz")
+    facts = features.customer_facts(red, cred, mis)
+    facts = facts.withColumn("customer_id", F.when(F.col("customer_id") != 7, F.col("customer_id")))
+    offers = anchors.union(odd).withColumnsRenamed({"ts": "offer_ts"}).withColumn("offer_id", F.monotonically_increasing_id())
+    busy = busy_groups("customer_id", facts, offers, most=most)
+    assert busy.count() == hot or (most == 0 and busy.count() >= 40)
+    _same(features.candidate_measures(offers, facts, busy=busy), features.candidate_measures(offers, facts))
+    for until in (None, ts_lit("2024-12-01")):
+        dated = anchors if until is None else anchors.filter(F.col("ts") <= until)
+        got = features.features_asof(dated, facts, at_redemptions=True, until=until, busy=busy)
+        _same(got, features.features_asof(dated, facts, at_redemptions=True, until=until))
+
+
+def test_candidates_deal_narrow_rows_once(spark, folder):
+    """Facts travel as they are: no shuffle of unrolled changes, and none of block totals or found offers."""
+    p = Programme(spark, folder)
+    plan = p.candidates._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan

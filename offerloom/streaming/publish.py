@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 from offerloom.operators import drift
 from offerloom.operators.features import FEATURE_DEFAULTS, FEATURES, fill_defaults
 from offerloom.operators.pit import pit_lookup
+from offerloom.operators.scan import busy_groups
 from offerloom.operators.scoring import feature_score, offer_cost
 from offerloom.sources.controls import Offer
 from offerloom.sources.runs import FAN_OUT, Runs
@@ -131,7 +132,8 @@ def score_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         known = versions(batch.sparkSession)
-        found = pit_lookup(batch, known, key, request_ts, feature_ts, FEATURES)
+        busy = busy_groups(key, known, batch)
+        found = pit_lookup(batch, known, key, request_ts, feature_ts, FEATURES, busy=busy)
         scored = fill_defaults(found, FEATURE_DEFAULTS).withColumn("p_accept", feature_score())
         offer_cost(scored, catalog).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 

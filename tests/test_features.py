@@ -279,3 +279,15 @@ def test_candidates_deal_narrow_rows_once(spark, folder):
     p = Programme(spark, folder)
     plan = p.candidates._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("most", [100_000, 100, 0])
+def test_lookup_of_keys_as_wholes_equals_blocks_of_time(spark, skewed, most):
+    anchors, red, _, _ = skewed
+    odd = spark.createDataFrame([(None, day(200)), (5, None)], "customer_id long, ts timestamp_ntz")
+    spine = anchors.union(odd).withColumn("row", F.monotonically_increasing_id())
+    table = red.withColumn("customer_id", F.when(F.col("customer_id") != 7, F.col("customer_id")))
+    table = table.groupBy("customer_id", "ts").agg(F.sum("points").alias("v"))
+    busy = busy_groups("customer_id", table, spine, most=most)
+    by = ("customer_id", "ts", "ts", ["v"])
+    _same(pit.pit_lookup(spine, table, *by, busy=busy), pit.pit_lookup(spine, table, *by, block_hours=24))

@@ -127,6 +127,21 @@ def prefix_scan(
     )
 
 
+def whole_scan(
+    df: DataFrame,
+    group: Sequence[str],
+    block: Sequence[str],
+    order: Sequence[Column | str],
+    running: Mapping[str, tuple[str, str]],
+    inclusive: bool = True,
+) -> DataFrame:
+    """What `prefix_scan` adds, by a plain window: for groups that a task can hold. `block` is not needed."""
+    upto = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    zero = F.lit(0).cast("long")
+    got = {out: _AGG[fn](col).over(upto) for out, (fn, col) in running.items()}
+    return df.withColumns({out: F.coalesce(c, zero) if running[out][0] == "sum" else c for out, c in got.items()})
+
+
 def ranged(df: DataFrame, order: Sequence[Column | str], name: str = "ranged") -> DataFrame:
     """Lay `df` out in ranges of `order` and number the ranges in a column `block`.
 

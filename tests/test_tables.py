@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from offerloom.operators import champion, drift, evaluation, features, ledger, model, pit, promotion, scoring, screening
+from offerloom.operators.scan import busy_groups
 from offerloom.plans import settings as st
 from offerloom.plans.programme import Programme
 from offerloom.session import scratch_path, staged
@@ -402,3 +403,24 @@ def test_each_deal_is_a_shuffle_of_its_own(spark):
         deck = sorted(data, key=lambda r: hashlib.md5(f"{r[0]}:{repeat}:x".encode()).hexdigest())
         deals.append(auc([r[1] for r in deck]))
     assert got == pytest.approx(auc([r[1] for r in data]) - sum(deals) / 2, abs=2e-6)
+
+
+@pytest.mark.parametrize("most", [100, 10_000])
+def test_ledger_of_customers_as_wholes(spark, most):
+    """With a hot customer cut into blocks, or none."""
+    rng = random.Random(most)
+    lots, spends = [], []
+    for c in range(9):
+        for i in range(90 if c == 4 else rng.randint(0, 12)):
+            ts = T0 + timedelta(hours=rng.randrange(3000))
+            lots.append((c, f"l{i:03d}", ts, rng.randrange(1, 60), rng.choice([None, ts, ts + timedelta(hours=200)])))
+            spends.append((c, f"s{i:03d}", T0 + timedelta(hours=rng.randrange(3300)), rng.randrange(1, 60)))
+    a = spark.createDataFrame(lots, "customer_id long, lot_id string, ts timestamp_ntz, points long, expiry_ts timestamp_ntz")
+    b = spark.createDataFrame(spends, "customer_id long, spend_id string, ts timestamp_ntz, points long")
+    busy = busy_groups("customer_id", a, b, most=most)
+    assert busy.count() == (1 if most == 100 else 0)
+    columns = ("customer_id", "lot_id", "spend_id", "points_used")
+    got = ledger.fifo_expiring(a, b, 24, 8, busy=busy)
+    assert {tuple(r) for r in got.select(*columns).collect()} == plain_ledger(lots, spends)
+    rows = lambda df: {tuple(r) for r in df.select(*columns).collect()}
+    assert rows(ledger.fifo_lots(a, b, 24, 8, busy=busy)) == rows(ledger.fifo_lots(a, b, 24, 8))

@@ -224,17 +224,42 @@ def _rows_of_features(raw: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
     return [pa.array([r.tobytes() for r in x.astype(np.float32)], pa.binary())]
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, votes, cells, counts) from (doc_id, votes, x): the buckets that are not empty, as bytes of uint16 and float32."""
+    for batch in batches:
+        rows = [np.frombuffer(x.as_buffer(), np.float32) for x in batch.column(2)]
+        cells = [np.flatnonzero(x).astype(np.uint16) for x in rows]
+        columns = [[c.tobytes() for c in cells], [x[c].tobytes() for x, c in zip(rows, cells)]]
+        yield pa.record_batch(
+            [batch.column(0), batch.column(1), *[pa.array(c, pa.binary()) for c in columns]], ["doc_id", "votes", "cells", "counts"]
+        )
+
+
+def _dense(cells: pa.ChunkedArray, counts: pa.ChunkedArray) -> np.ndarray:
+    """What `_packed` has packed, a row of `BUCKETS` float32 for each text."""
+    out = np.zeros((len(cells), BUCKETS), np.float32)
+    for row, at, x in zip(out, cells, counts):
+        row[np.frombuffer(at.as_buffer(), np.uint16)] = np.frombuffer(x.as_buffer(), np.float32)
+    return out
+
+
 def train(features: np.ndarray, target: np.ndarray, steps: int = 400, decay: float = 1e-4) -> Scorer:
-    """Logistic regression on soft labels by accelerated gradient steps; both labels weigh the same in all."""
+    """Logistic regression on soft labels by accelerated gradient steps; both labels weigh the same in all.
+
+    `features` is standardised in place, and no copy of it is made: it is the most that the driver holds.
+    """
     if not len(target):
         return Scorer(np.zeros(BUCKETS), 0.0)
-    middle = features.mean(axis=0)
-    spread = features.std(axis=0) + 0.01
-    x = ((features - middle) / spread).astype(np.float32)
+    x = features
+    middle = x.mean(axis=0)
+    spread = np.concatenate([x[:, k : k + 64].std(axis=0) for k in range(0, x.shape[1], 64)]) + x.dtype.type(0.01)
+    x -= middle
+    x /= spread
     pull = np.where(target > 0.5, 0.5 / max(1e-9, target.sum()), 0.5 / max(1e-9, (1 - target).sum()))
     pull = (pull / pull.sum()).astype(np.float32)
     w, b, mw, mb = np.zeros(BUCKETS, np.float32), 0.0, np.zeros(BUCKETS, np.float32), 0.0
-    rate = 4.0 / float((pull * (x * x).sum(axis=1)).sum() + 1)
+    length = np.concatenate([(part * part).sum(axis=1) for part in np.array_split(x, len(x) // 256 + 1)])
+    rate = 4.0 / float((pull * length).sum() + 1)
     for k in range(steps):
         z = x @ w + b
         gap = pull * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - target)
@@ -263,9 +288,13 @@ def fit(docs: DataFrame, voted: DataFrame, max_train: int = MAX_TRAIN) -> tuple[
     )
     chosen = F.broadcast(sample)  # at most max_train rows
     rows = _map_texts(docs.join(chosen, "doc_id", "left_semi"), "x binary", _rows_of_features)
-    rows = rows.groupBy("doc_id").agg(F.min("x").alias("x")).join(chosen, "doc_id").orderBy("doc_id").collect()
-    features = np.frombuffer(b"".join(bytes(r["x"]) for r in rows), np.float32).reshape(-1, BUCKETS)
-    target = np.array([posterior[r["votes"]] for r in rows], np.float32)
+    rows = rows.groupBy("doc_id").agg(F.min("x").alias("x")).join(chosen, "doc_id").select("doc_id", "votes", "x")
+    packed = T.StructType([*rows.schema.fields[:2], T.StructField("cells", T.BinaryType()), T.StructField("counts", T.BinaryType())])
+    # at most max_train rows, without their empty buckets
+    held = map_arrow(rows, _packed, packed).toArrow().sort_by("doc_id")
+    target = np.array([posterior[v] for v in held["votes"].to_pylist()], np.float32)
+    features = _dense(held["cells"], held["counts"])
+    del held
     return train(features, target), posterior, behaviour
 
 

@@ -3,11 +3,13 @@
 import random
 import re
 import textwrap
+import tracemalloc
 from itertools import groupby
 from pathlib import Path
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -564,3 +566,22 @@ def test_pipeline_stage_by_stage(spark, folder, docs):
             assert after == sorted(d for d, (_, hit, _) in brute.contamination(before, bench).items() if not hit)
     coded = corpus_pipeline.STAGES[-1][1](spark, kept, folder)
     assert coded.count() == kept.count()
+
+
+def test_training_rows_reach_the_driver_packed_and_are_held_once():
+    rng = np.random.default_rng(5)
+    rows = ((rng.random((600, quality.BUCKETS)) < 0.05) * rng.random((600, quality.BUCKETS))).astype(np.float32)
+    names, votes = [f"d{k}" for k in range(600)], ["-" * len(quality.LABELLERS)] * 600
+    batch = pa.record_batch([names, votes, pa.array([r.tobytes() for r in rows], pa.binary())], ["doc_id", "votes", "x"])
+    held = pa.Table.from_batches(list(quality._packed([batch])))
+    assert held.nbytes < rows.nbytes / 5
+    dense = quality._dense(held["cells"], held["counts"])
+    assert np.array_equal(dense, rows)
+    target = (rng.random(600) < 0.7).astype(np.float32)
+    wanted = ((rows - rows.mean(axis=0)) / (rows.std(axis=0) + np.float32(0.01))).astype(np.float32)
+    tracemalloc.start()
+    scorer = quality.train(dense, target, steps=5)
+    extra = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(dense, wanted) and np.isfinite(scorer.weights).all()
+    assert extra < rows.nbytes / 2  # no second copy of the rows

@@ -5,9 +5,11 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
-from offerloom.operators import champion, drift, evaluation, features, ledger, model, pit, promotion, scoring, screening
+from offerloom.operators import boosting, champion, drift, evaluation, features, ledger, model, pit, promotion, scoring, screening
 from offerloom.operators.scan import busy_groups
 from offerloom.plans import settings as st
 from offerloom.plans.programme import Programme
@@ -424,3 +426,43 @@ def test_ledger_of_customers_as_wholes(spark, most):
     assert {tuple(r) for r in got.select(*columns).collect()} == plain_ledger(lots, spends)
     rows = lambda df: {tuple(r) for r in df.select(*columns).collect()}
     assert rows(ledger.fifo_lots(a, b, 24, 8, busy=busy)) == rows(ledger.fifo_lots(a, b, 24, 8))
+
+
+def test_trees_of_dealt_cells_are_those_of_one_task_and_of_spark(spark, folder, monkeypatch):
+    """Whether a task holds all cells or they are dealt, the trees score as Spark ML's own."""
+    rows = staged(Programme(spark, folder).training_set, "training")
+    ready = model.prepare(rows)
+    assert ready.held.number <= rows.count() and ready.held.table.agg(F.sum(F.col("pos") + F.col("neg"))).first()[0] == rows.count()
+    one = model.fit_propensity(ready, rounds=3, depth=2)
+    monkeypatch.setattr(boosting, "MOST", ready.held.number // 3)
+    monkeypatch.setattr(boosting, "KEPT_ROUNDS", 2)
+    dealt = model.fit_propensity(ready, rounds=3, depth=2)
+    given = PipelineModel([*ready.stages]).transform(model.counted(rows, "accepted"))
+    settings = one.stages[-1]
+    spark_ml = GBTClassifier(featuresCol="inputs", labelCol="accepted", weightCol="weight", maxIter=3, maxDepth=2, stepSize=0.08, seed=42)
+    assert settings.getMaxIter() == 3 and settings.treeWeights == [1.0, 0.08, 0.08]
+    scores = [
+        {r["offer_id"]: r["p_accept"] for r in model.predict_proba(m, rows).select("offer_id", "p_accept").collect()}
+        for m in (one, dealt, PipelineModel([*ready.stages, spark_ml.fit(given)]))
+    ]
+    assert scores[0] == scores[1]
+    assert all(p == pytest.approx(scores[2][k], abs=2e-6) for k, p in scores[0].items())
+
+
+def test_a_training_run_starts_no_job_for_each_level(spark, folder):
+    """Cells that a task can hold are boosted in it: as many jobs for twelve rounds as for two."""
+    ready = model.prepare(Programme(spark, folder).training_set)
+    jobs = []
+    for rounds in (2, 12):
+        group = f"rounds-{rounds}"
+        spark.sparkContext.setJobGroup(group, group)
+        model.fit_propensity(ready, rounds=rounds, depth=3)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1]
+
+
+def test_limits_cut_values_into_like_parts():
+    assert boosting.limits_of(iter([(5.0, 3.0)]), 3, 4).tolist() == []
+    assert boosting.limits_of(iter([(0.0, 2.0), (1.0, 1.0), (4.0, 9.0)]), 12, 4).tolist() == [0.5, 2.5]
+    assert boosting.limits_of(iter([(float(k), 1.0) for k in range(8)]), 8, 4).tolist() == [1.5, 3.5, 5.5]

@@ -3,6 +3,7 @@
 import hashlib
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -13,7 +14,7 @@ from offerloom.operators import boosting, champion, drift, evaluation, features,
 from offerloom.operators.scan import busy_groups
 from offerloom.plans import settings as st
 from offerloom.plans.programme import Programme
-from offerloom.session import scratch_path, staged
+from offerloom.session import scratch_path, shared_dir, staged
 from offerloom.sources import maintenance as m
 from offerloom.streaming import publish
 
@@ -466,3 +467,13 @@ def test_limits_cut_values_into_like_parts():
     assert boosting.limits_of(iter([(5.0, 3.0)]), 3, 4).tolist() == []
     assert boosting.limits_of(iter([(0.0, 2.0), (1.0, 1.0), (4.0, 9.0)]), 12, 4).tolist() == [0.5, 2.5]
     assert boosting.limits_of(iter([(float(k), 1.0) for k in range(8)]), 8, 4).tolist() == [1.5, 3.5, 5.5]
+
+
+def test_deals_are_run_once_and_leave_no_rows_behind(spark):
+    """What is returned reads the decks' counted scores only, and the rows laid out for the deals are gone."""
+    df = spark.createDataFrame([(i, float(i % 7), int(i % 3 == 0)) for i in range(60)], "id long, x double, y int")
+    place = Path(shared_dir(spark).removeprefix("file:"))
+    before = {p.name for p in place.iterdir()}
+    got = evaluation.permutation_importance(df, "id", ["x"], F.col("x"), "y", repeats=2)
+    assert {Path(f).parent.name.rsplit("-", 1)[0] for f in got.inputFiles()} == {"deck-scores"}
+    assert {p.name.rsplit("-", 1)[0] for p in place.iterdir() if p.name not in before} == {"deck-scores"}
